@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import golden
+from . import golden, history, names
 
-PARTS = (golden,)
+PARTS = (golden, history, names)
 QUERIES = {k: v for m in PARTS for k, v in m.QUERIES.items()}
 SQL = {k: v for m in PARTS for k, v in m.SQL.items()}
