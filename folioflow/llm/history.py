@@ -65,7 +65,7 @@ def _windows(bits: np.ndarray) -> np.ndarray:
     return np.stack([wide[:, o : o + WINDOW] @ power for o in range(0, BITS, STEP)], axis=1).astype(np.int32)
 
 
-FINGERPRINT = T.StructType([T.StructField("kid", T.LongType()), *[T.StructField(f"f{i}", T.LongType()) for i in range(4)], T.StructField("blocks", T.ArrayType(T.IntegerType()))])
+FINGERPRINT = T.StructType([T.StructField("kid", T.LongType()), T.StructField("first", T.LongType()), *[T.StructField(f"f{i}", T.LongType()) for i in range(4)], T.StructField("blocks", T.ArrayType(T.IntegerType()))])
 
 
 def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -74,7 +74,7 @@ def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if len(b):
             bits = fingerprint_bits(b["key"].tolist(), planes)
             w = _words64(bits)
-            yield pd.DataFrame({"kid": b["kid"].to_numpy(), **{f"f{i}": w[:, i] for i in range(4)}, "blocks": list(_windows(bits))})
+            yield pd.DataFrame({"kid": b["kid"].to_numpy(), "first": b["first"].to_numpy(), **{f"f{i}": w[:, i] for i in range(4)}, "blocks": list(_windows(bits))})
 
 
 def entries(df: DataFrame, title: Column, normalized: Column, order: Column) -> DataFrame:
@@ -86,9 +86,9 @@ def entries(df: DataFrame, title: Column, normalized: Column, order: Column) ->
 
 
 def blocks(keys: DataFrame) -> DataFrame:
-    """The block tables' rows: tbl, blk, kid, f0..f3."""
-    fp = keys.select("kid", "key").mapInPandas(_fingerprints, FINGERPRINT)
-    return fp.select("kid", "f0", "f1", "f2", "f3", F.posexplode("blocks").alias("tbl", "blk"))
+    """The block tables' rows: tbl, blk, kid, first, f0..f3."""
+    fp = keys.select("kid", "first", "key").mapInPandas(_fingerprints, FINGERPRINT)
+    return fp.select("kid", "first", "f0", "f1", "f2", "f3", F.posexplode("blocks").alias("tbl", "blk"))
 
 
 def candidates(asked: DataFrame, index: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
     inc = incoming.where("arrival_no is not null").select("arrival_no", "paper_id", "title", "normalized_title")
     both = history.select(F.lit(-1).cast("long").alias("arrival_no"), "paper_id", "title", "normalized_title").unionByName(inc)
     keys = stage(entries(both, F.col("title"), F.col("normalized_title"), F.col("arrival_no")), "titles")
-    index = stage(blocks(keys).join(keys.select("kid", "first"), "kid"), "blocks")
+    index = stage(blocks(keys), "blocks")
     pairs = candidates(index.where("first >= 0"), index)
     links = verified(pairs, keys, vocabulary(keys), keys.count())
     earlier = links.join(keys.select(F.col("kid").alias("other"), F.col("first").alias("of")), "other").groupBy("kid").agg(F.min("of").alias("of"))
@@ -259,7 +259,7 @@ class SeenIndex:
         at = F.col(order) if order else F.lit(-1).cast("long")
         keys = stage(entries(rows, F.col("title"), F.col("normalized_title"), at), "titles")
         keys.write.mode("append").parquet(f"{self.path}/titles")
-        blocks(keys).join(keys.select("kid", "first"), "kid").write.mode("append").parquet(f"{self.path}/blocks")
+        blocks(keys).write.mode("append").parquet(f"{self.path}/blocks")
         rows.select(id_key(F.col("paper_id")).alias("id"), at.alias("first")).where("id is not null").groupBy("id").agg(F.min("first").alias("first")).write.mode("append").parquet(f"{self.path}/ids")
         self.n += 1
 

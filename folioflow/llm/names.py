@@ -304,12 +304,18 @@ def mended(read: DataFrame) -> DataFrame:
     near = near.select("core", "to", "kind", "gate", "to_support").distinct()
     mine = gated.select("nid", "core", "kind", "gate", "options", "middle", "initial")
     theirs = gated.select(F.col("core").alias("to"), "kind", "gate", F.col("options").alias("to_options"), F.col("middle").alias("to_middle"), F.col("initial").alias("to_initial"))
-    token = lambda o, i: F.when(F.col("kind") == "org", F.array()).when(F.size(o) > 0, F.array(F.element_at(o, 1))).when(F.col(i) != "", F.array(F.col(i))).otherwise(F.array().cast("array<string>"))
     fit = near.join(mine, ["core", "kind", "gate"]).join(theirs, ["to", "kind", "gate"])
-    agree = F.when((F.size("options") > 0) & (F.size("to_options") > 0), F.arrays_overlap("options", "to_options")).otherwise(True)
-    fit = fit.where(agree & ((F.col("middle") == "") | (F.col("to_middle") == "") | (F.col("middle") == F.col("to_middle"))))
+    both = (F.size("options") > 0) & (F.size("to_options") > 0)
+    shared = F.array_intersect("options", "to_options")
+    fit = fit.where((~both | (F.size(shared) > 0)) & ((F.col("middle") == "") | (F.col("to_middle") == "") | (F.col("middle") == F.col("to_middle"))))
+
+    def token(options: str, initial: str):
+        """The given name as one token: a full name both may stand for, else the first full name, else the initial."""
+        own = F.when(both, F.slice(shared, 1, 1)).when(F.size(options) > 0, F.array("gate")).when(F.col(initial) != "", F.array(initial)).otherwise(F.array().cast("array<string>"))
+        return F.when(F.col("kind") == "org", F.array().cast("array<string>")).otherwise(own)
+
     fit = fit.select("nid", "to", "to_support", F.concat(F.array("core"), token("options", "initial")).alias("a"), F.concat(F.array("to"), token("to_options", "to_initial")).alias("b"))
-    fit = fit.select("nid", "to", "to_support", F.when(F.col("a") == F.col("b"), F.lit(0.0)).otherwise(_aligned("a", "b")).alias("cost")).where("cost is not null")
+    fit = fit.select("nid", "to", "to_support", _aligned("a", "b").alias("cost")).where("cost is not null")
     step = fit.groupBy("nid").agg(F.max(F.struct("to_support", (-F.col("cost")).alias("near"), "to")).alias("best")).select("nid", F.col("best.to").alias("to"))
     first = nodes.join(step, "nid", "left").withColumn("new", F.coalesce("to", "core"))
     # The core found may itself be a slip of a still better supported one: one more step along the same map.
