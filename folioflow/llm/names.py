@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations, permutations
 
 import pandas as pd
@@ -137,6 +138,7 @@ def plain(s: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
 
 
+@lru_cache(1 << 16)
 def given_of(token: str) -> list[str]:
     """The full names that a given name may stand for; one slip in a known name is mended; [] if unknown."""
     if token in FORMS:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import golden, history, leaks, mixture, names, spans
+from . import golden, history, leaks, linkage, mixture, names, spans
 
-PARTS = (golden, history, names, leaks, mixture, spans)
+PARTS = (golden, history, linkage, names, leaks, mixture, spans)
 QUERIES = {k: v for m in PARTS for k, v in m.QUERIES.items()}
 SQL = {k: v for m in PARTS for k, v in m.SQL.items()}
