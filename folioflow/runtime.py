@@ -6,14 +6,33 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_shipped: dict[str, str] = {}
 _written: list[tuple[SparkSession, str]] = []
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Makes this package importable on the executors, once for each application: the driver serves it as a zip."""
+    sc = spark.sparkContext
+    if _shipped.get("app") != sc.applicationId:
+        root = Path(__file__).resolve().parent
+        path = Path(tempfile.mkdtemp(prefix="folioflow-")) / "folioflow.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, str(p.relative_to(root.parent)))
+        sc.addPyFile(str(path))
+        _shipped["app"] = sc.applicationId
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A Parquet table of the folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -28,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it back: lineage is cut, and lost executors lose nothing."""
-    spark = df.sparkSession
+    spark = ship(df.sparkSession)
     path = f"{shared_dir(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
