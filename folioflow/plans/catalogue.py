@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import rejects
+from . import core, rejects
 
-PARTS = (rejects,)
+PARTS = (rejects, core)
 QUERIES = {k: v for m in PARTS for k, v in m.QUERIES.items()}
 SQL = {k: v for m in PARTS for k, v in m.SQL.items()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejects.p1_summary(spark, sf_dir)
+    return core.simple_monitor(spark, sf_dir)
