@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import table
+from ..runtime import ship, stage, table
 
 WORD = re.compile(r"[^\W_]+")
 #: Passage length and step in words. Any run of RUN words lies whole in one passage, as SIZE - STEP >= RUN.
@@ -159,7 +159,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     frequency: its names, numbers and answer) that stand there. Null ids and null or empty texts have no pairs; equal
     documents each count. Very long texts are read whole.
     """
-    spark = docs.sparkSession
+    spark = ship(docs.sparkSession)
     d = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null and text <> ''")
     asked = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).where("item_id is not null and text <> ''")
     out, last = None, None
@@ -187,7 +187,7 @@ def _block(spark: SparkSession, d: DataFrame, block: list[tuple[int, list[str]]]
             rows.append(ids[s:e])
             owner.append(k)
     own = _matrix(rows, idf)
-    sample = d.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS).repartition(8)
+    sample = stage(d.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS).repartition(8), "fit")
     space = latent_space(sample, "text", own, index, idf)
     latent = own @ space
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
