@@ -54,20 +54,32 @@ def hits(text: Column, phrases: Sequence[str]) -> Column:
 
 
 def with_hits(df: DataFrame, rules: Rules) -> DataFrame:
-    """Adds ``hits``: one struct of (title, abstract, authors) phrase arrays for each group. ``authors`` may be an array."""
-    text = {f: F.coalesce(F.array_join(f, " ") if dict(df.dtypes)[f].startswith("array") else F.col(f), F.lit("")) for f in FIELDS}
-    return df.withColumn("hits", F.struct(*[F.struct(*[hits(text[f], phrases).alias(f) for f in FIELDS]).alias(g) for g, phrases in rules.groups.items()]))
+    """Adds ``hits``: one struct of (title, abstract, authors) phrase arrays for each group, and their sizes ``_n_group_field``.
+
+    Arrays and sizes are columns of their own: as they are used many times, the optimizer keeps them in a projection
+    below the scores instead of repeating every regexp in each of them. ``authors`` may be an array.
+    """
+    kinds = dict(df.dtypes)
+    text = {f: F.coalesce(F.array_join(f, " ") if kinds[f].startswith("array") else F.col(f), F.lit("")) for f in FIELDS}
+    found = df.withColumns({f"_h_{g}_{f}": hits(text[f], phrases) for g, phrases in rules.groups.items() for f in FIELDS})
+    sized = found.withColumns({f"_n_{g}_{f}": F.size(f"_h_{g}_{f}") for g in rules.groups for f in FIELDS})
+    whole = F.struct(*[F.struct(*[F.col(f"_h_{g}_{f}").alias(f) for f in FIELDS]).alias(g) for g in rules.groups])
+    return sized.withColumn("hits", whole).drop(*[f"_h_{g}_{f}" for g in rules.groups for f in FIELDS])
 
 
 def long_hits(df: DataFrame, rules: Rules, ident: str) -> DataFrame:
     """One row (ident, phrase_group, field, phrase) for each hit."""
     d = with_hits(df, rules)
-    rows = F.flatten(F.array(*[F.transform(F.col(f"hits.{g}.{f}"), lambda p, g=g, f=f: F.struct(F.lit(g).alias("phrase_group"), F.lit(f).alias("field"), p.alias("phrase"))) for g in rules.groups for f in FIELDS]))
+
+    def rows_of(g: str, f: str) -> Column:
+        return F.transform(F.col(f"hits.{g}.{f}"), lambda p: F.struct(F.lit(g).alias("phrase_group"), F.lit(f).alias("field"), p.alias("phrase")))
+
+    rows = F.flatten(F.array(*[rows_of(g, f) for g in rules.groups for f in FIELDS]))
     return d.select(ident, F.explode(rows).alias("h")).select(ident, "h.*")
 
 
 def _n(g: str, f: str) -> Column:
-    return F.size(F.col(f"hits.{g}.{f}"))
+    return F.col(f"_n_{g}_{f}")
 
 
 def _total(g: str) -> Column:
@@ -141,7 +153,7 @@ def decide(df: DataFrame, rules: Rules) -> DataFrame:
     score = F.when(F.col("_veto"), 0.0).otherwise(F.coalesce(F.col("_best.score"), F.col("_base")).cast("double"))
     every = F.map_from_arrays(F.array(*[F.lit(b.name) for b in rules.buckets]), F.array(*[F.col(f"_s{i}").cast("double") for i in range(len(rules.buckets))]))
     out = scored.withColumns({"matched": F.col("_best").isNotNull(), "bucket": F.col("_best.name"), "score": score, "bucket_scores": F.when(~F.col("_veto"), every)})
-    return out.drop("_veto", "_base", "_best", *[f"_{k}{i}" for k in "sm" for i in range(len(rules.buckets))])
+    return out.drop("_veto", "_base", "_best", *[f"_{k}{i}" for k in "sm" for i in range(len(rules.buckets))], *[f"_n_{g}_{f}" for g in rules.groups for f in FIELDS])
 
 
 def profile_match(rules: Rules, require_all: Sequence[str] = (), require_any: Sequence[str] = (), title_all: Sequence[str] = (), least_hits: int = 1) -> Column:

@@ -16,7 +16,7 @@ from ..functions import documents as docs
 from ..functions import query_language as Q
 from ..functions import text as X
 from ..operators import dedupe, filters, merge, rank, render, rules, state
-from ..runtime import table
+from ..runtime import stage, table
 
 AS_OF = datetime.date(2025, 6, 30)
 INCLUDE, EXCLUDE = ["language model", "evidence"], ["intraday", "bailout"]
@@ -150,10 +150,10 @@ def phrase_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _hit_sql() -> str:
-    rows = ", ".join(f"('{g}', '{p}', '{p.replace(' ', chr(92) + 's+')}')" for g, ps in RULES.groups.items() for p in ps)
-    return rf"""ph(phrase_group, phrase, pattern) as (values {rows}),
-tx as (select row_no, 'title' field, coalesce(title, '') t from papers union all select row_no, 'abstract', coalesce(abstract, '') from papers union all select row_no, 'authors', coalesce(array_to_string(authors, ' '), '') from papers),
-h as (select row_no, phrase_group, field, phrase from tx, ph where regexp_matches(t, '(?i)(^|[^\p{{L}}\p{{N}}_])' || pattern || '($|[^\p{{L}}\p{{N}}_])'))"""
+    every = [(g, p, p.replace(" ", chr(92) + "s+")) for g, ps in RULES.groups.items() for p in ps]
+    found = " union all ".join(rf"select row_no, '{g}' phrase_group, field, '{p}' phrase from tx where regexp_matches(t, '(?i)(^|[^\p{{L}}\p{{N}}_]){x}($|[^\p{{L}}\p{{N}}_])')" for g, p, x in every)
+    return f"""tx as materialized (select row_no, 'title' field, coalesce(title, '') t from papers union all select row_no, 'abstract', coalesce(abstract, '') from papers union all select row_no, 'authors', coalesce(array_to_string(authors, ' '), '') from papers),
+h as materialized ({found})"""
 
 
 def bucket_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +166,7 @@ def _decision_sql(select: str) -> str:
     w, fw = RULES.weights, RULES.field_weights
     groups = list(RULES.groups)
     n = lambda g, f: f"n_{g}_{f}"
-    cols = ", ".join(f"count_if(phrase_group = '{g}' and field = '{f}') {n(g, f)}" for g in groups for f in rules.FIELDS)
+    cols = ", ".join(f"count(*) filter (where phrase_group = '{g}' and field = '{f}') {n(g, f)}" for g in groups for f in rules.FIELDS)
     total = lambda g: "(" + " + ".join(n(g, f) for f in rules.FIELDS) + ")"
     some = lambda gs, fs: "(" + " or ".join([f"{n(g, f)} > 0" for g in gs for f in fs] or ["false"]) + ")"
     base = "(" + " + ".join(f"{n(g, f)} * {fw[f]}" for g in groups for f in rules.FIELDS) + ")"
@@ -222,7 +222,9 @@ def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     heuristic = rank.heuristic(F.col("score"), age, [F.coalesce(F.col("abstract") != "", F.lit(False)), F.coalesce(F.size("authors") > 0, F.lit(False)), F.coalesce(F.col("date") != "", F.lit(False))], F.col("source"), F.col("bucket"), F.coalesce("query_groups", F.array().cast("array<string>")), noise, WEIGHTS)
     verdict = rank.as_bool(F.when(pages.isNotNull(), (pages.try_cast("int") % 2).cast("string")))
     d = d.withColumns({"relevance": relevance, "pick": pick, "verdict": verdict, "heuristic": F.round(heuristic, 6)})
-    return d.withColumn("final", F.round(F.col("heuristic") + F.col("relevance") * WEIGHTS.relevance + F.col("pick") * WEIGHTS.pick, 5))
+    d = d.withColumn("final", F.round(F.col("heuristic") + F.col("relevance") * WEIGHTS.relevance + F.col("pick") * WEIGHTS.pick, 5))
+    # Rules run once; the stages after them read the table of decisions (also twice, as for "any accepted").
+    return stage(d.drop("abstract", "raw_metadata", "bucket_scores"), "decisions")
 
 
 def heuristic_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,7 +300,7 @@ _METRICS = """select coalesce(nullif(source_handler, ''), nullif(source, ''), 'u
 def candidate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate with its decision, scores, verdict and whether it was selected."""
     r = _ranked(spark, sf_dir)
-    chosen = balanced_topk(spark, sf_dir).select("row_no", F.lit(True).alias("selected"))
+    chosen = rank.balanced(r.where("matched"), [F.col("final").desc(), F.col("row_no")], "bucket", "core", 4, "tooling", 3, 12).select("row_no", F.lit(True).alias("selected"))
     terms = F.array_distinct(F.flatten(F.array(*[F.col(f"hits.{g}.{f}") for g in ("methods", "markets") for f in rules.FIELDS])))
     out = r.join(chosen, "row_no", "left")
     return out.select("row_no", "bucket", F.round("final", 3).alias("final"), F.coalesce("verdict", F.lit(False)).alias("verdict"), F.coalesce("selected", F.lit(False)).alias("selected"), F.array_join(F.array_sort(terms), ", ").alias("terms"))
@@ -360,7 +362,7 @@ def provenance_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PROVENANCE = """with x as (select paper_id, row_no, unnest(query_groups) g, generate_subscripts(query_groups, 1) i from papers where paper_id is not null),
 y as (select paper_id, g, min((row_no, i)) o from x where g is not null group by 1, 2), z as (select paper_id, string_agg(g, ',' order by o) query_groups from y group by 1)
-select paper_id, row_no, source_handler, coalesce(query_groups, '') query_groups from (select paper_id, min(row_no) row_no, arg_min(coalesce(source_handler, ''), row_no) source_handler from papers where paper_id is not null group by 1) left join z using (paper_id)"""
+select p.paper_id, p.row_no, p.source_handler, coalesce(z.query_groups, '') query_groups from (select paper_id, min(row_no) row_no from papers where paper_id is not null group by 1) m join papers p on p.row_no = m.row_no left join z on z.paper_id = m.paper_id"""
 
 
 def id_union(spark: SparkSession, sf_dir: str) -> DataFrame:
