@@ -105,21 +105,43 @@ ROMAN = frozenset("i ii iii iv v vi vii viii ix x xi xii".split())
 
 
 def osa(a: str, b: str, most: int) -> int:
-    """Edit distance with transpositions of neighbours, or most + 1."""
+    """Edit distance with transpositions of neighbours, or most + 1. Only cells within ``most`` of the diagonal are filled."""
+    if a == b:
+        return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
-    before, prev = [], list(range(len(b) + 1))
+    i, n = 0, min(len(a), len(b))
+    while i < n and a[i] == b[i]:
+        i += 1
+    j = 0
+    while j < n - i and a[len(a) - 1 - j] == b[len(b) - 1 - j]:
+        j += 1
+    a, b = a[i : len(a) - j], b[i : len(b) - j]
+    if not a or not b:
+        return len(a) + len(b)
+    far = most + 1
+    before, prev = [], [k if k <= most else far for k in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
-        cur = [i] + [0] * len(b)
-        for j, y in enumerate(b, 1):
-            cost = min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                cost = min(cost, before[j - 2] + 1)
+        cur = [far] * (len(b) + 1)
+        if i <= most:
+            cur[0] = i
+        least = cur[0]
+        for j in range(max(1, i - most), min(len(b), i + most) + 1):
+            y = b[j - 1]
+            cost = prev[j - 1] + (x != y)
+            if prev[j] < cost:
+                cost = prev[j] + 1
+            if cur[j - 1] < cost:
+                cost = cur[j - 1] + 1
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y and before[j - 2] < cost:
+                cost = before[j - 2] + 1
             cur[j] = cost
-        if min(cur) > most:
-            return most + 1
+            if cost < least:
+                least = cost
+        if least > most:
+            return far
         before, prev = prev, cur
-    return prev[-1]
+    return min(far, prev[-1])
 
 
 def exact_token(w: str) -> bool:

@@ -138,6 +138,19 @@ def plain(s: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
 
 
+def deletions(word: str) -> list[str]:
+    """The word and what is left of it after up to two deletions (one in words under seven letters, none under four)."""
+    most = 2 if len(word) >= 7 else 1 if len(word) >= 4 else 0
+    return sorted({"".join(c for i, c in enumerate(word) if i not in cut) for k in range(most + 1) for cut in combinations(range(len(word)), k)})
+
+
+#: Deletions of the known names, for the same look-up as between any two tokens.
+_NEAR: dict[str, list[str]] = {}
+for _full in FORMS:
+    for _x in deletions(_full):
+        _NEAR.setdefault(_x, []).append(_full)
+
+
 @lru_cache(1 << 16)
 def given_of(token: str) -> list[str]:
     """The full names that a given name may stand for; one slip in a known name is mended; [] if unknown."""
@@ -146,10 +159,12 @@ def given_of(token: str) -> list[str]:
     if token in SHORT:
         return SHORT[token]
     if len(token) >= 4:
+        met = {g for x in deletions(token) for g in _NEAR.get(x, ())}
+        apart = [(osa(token, g, 2), g) for g in met]
         for most in (1, 2) if len(token) >= 6 else (1,):
-            near = sorted(g for g in FORMS if g[0] == token[0] and osa(token, g, most) <= most) or sorted(g for g in FORMS if osa(token, g, most) <= most)
+            near = sorted(g for d, g in apart if d <= most)
             if near:
-                return near
+                return [g for g in near if g[0] == token[0]] or near
     return []
 
 
@@ -202,8 +217,8 @@ def read_name(raw: str | None) -> tuple | None:
         if len(full) == 1:
             last, given, sure = full[0], initials, True
         else:
-            known = [bool(given_of(w)) for w in full]
             exact = [w in GIVEN for w in full]
+            known = exact if any(exact) else [bool(given_of(w)) for w in full]
             first = exact.index(True) if any(exact) else known.index(True) if any(known) else 0
             sure = any(known)
             lead = full[first]
@@ -231,12 +246,6 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=[f.name for f in READ.fields])
 
 
-def deletions(word: str) -> list[str]:
-    """The word and what is left of it after up to two deletions (one in words under seven letters, none under four)."""
-    most = 2 if len(word) >= 7 else 1 if len(word) >= 4 else 0
-    return sorted({"".join(c for i, c in enumerate(word) if i not in cut) for k in range(most + 1) for cut in combinations(range(len(word)), k)})
-
-
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _deletions(words: pd.Series) -> pd.Series:
     return words.map(deletions)
