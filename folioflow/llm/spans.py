@@ -5,8 +5,8 @@ equal stretches of text have equal tokens except in the first and last LONG char
 k-mer: the fewest tokens that cover SPAN - 2 * LONG characters, so any shared stretch of SPAN characters holds a whole
 k-mer. K-mers are the graph's edges; consecutive ones share all tokens but the ends.
 
-1. Every text is hashed once (64-bit polynomial hashes of characters by prefix sums, vectorised); k-mers that occur once
-   are dropped after a partially aggregated count.
+1. Texts are hashed (64-bit polynomial hashes of characters by prefix sums, vectorised) and k-mers counted by hash; those
+   that repeat set bits in a filter of fixed size. A second scan keeps the occurrences that pass it, with coordinates.
 2. A k-mer is unbranched if all its occurrences have the same successor and predecessor. Joined back, each document's
    maximal unbranched stretches become one row each: a compacted path named by its first k-mer, with source coordinates.
    All copies of a path are cut at the same places, so paths meet by equality, one row per path and document.
@@ -16,6 +16,7 @@ k-mer. K-mers are the graph's edges; consecutive ones share all tokens but the e
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,23 +98,72 @@ def kmers(text: str, wordlike: np.ndarray, power: np.ndarray, inverse: np.ndarra
     return starts, ends, h
 
 
-def _kmers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    wordlike = _wordlike()
-    size = _BLOCK
-    power, inverse = _powers(_MULTIPLIER, size), _powers(_INVERSE, size)
+def _each(batch: pd.DataFrame, state: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """doc, start, end, hash of each text of a batch that has k-mers; ``state`` keeps the tables between batches."""
+    if not state:
+        state |= {"word": _wordlike(), "size": 0}
+    for doc, text in zip(batch["doc"], batch["text"]):
+        if len(text) > state["size"]:
+            size = max(_BLOCK, len(text))
+            state |= {"size": size, "power": _powers(_MULTIPLIER, size), "inverse": _powers(_INVERSE, size)}
+        s, e, h = kmers(text, state["word"], state["power"], state["inverse"])
+        if len(s):
+            yield doc, s, e, h.view(np.int64)
+
+
+def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    state: dict = {}
     for b in batches:
-        out = []
-        for doc, text in zip(b["doc"], b["text"]):
-            if len(text) > size:
-                size = len(text)
-                power, inverse = _powers(_MULTIPLIER, size), _powers(_INVERSE, size)
-            s, e, h = kmers(text, wordlike, power, inverse)
-            if len(s):
-                h = h.view(np.int64)
-                out.append((np.full(len(s), doc), np.arange(len(s)), s, e, h, np.append(h[1:], 0), np.append(0, h[:-1])))
+        out = [h for _, _, _, h in _each(b, state)]
         if out:
-            c = [np.concatenate(x) for x in zip(*out)]
-            yield pd.DataFrame({"doc": c[0], "at": c[1].astype(np.int32), "start": c[2].astype(np.int32), "end": c[3].astype(np.int32), "kmer": c[4], "next": c[5], "prev": c[6]})
+            yield pd.DataFrame({"kmer": np.concatenate(out)})
+
+
+#: Bits of the filter of repeated k-mers: a fixed size, whatever the corpus. Where it fills up, more k-mers that occur
+#: once pass it, and the exact count after it removes them; none that repeats is ever lost.
+FILTER_BITS = 1 << 26
+
+
+def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    u = h.view(np.uint64)
+    return (u >> np.uint64(38)).astype(np.int64), ((u >> np.uint64(7)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+
+
+def repeated_filter(texts: DataFrame) -> np.ndarray:
+    """Bits (packed) set for every k-mer that occurs twice or more. Only hashes are shuffled: 8 bytes a token."""
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.zeros(FILTER_BITS, bool)
+        for b in batches:
+            for at in _places(b["kmer"].to_numpy()):
+                bits[at] = True
+        if bits.any():
+            yield pd.DataFrame({"bits": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
+
+    twice = texts.mapInPandas(_hashes, "kmer long").groupBy("kmer").agg(F.count("*").alias("n")).where("n > 1").select("kmer").coalesce(16)
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in twice.mapInPandas(mark, "bits binary").toLocalIterator():
+        out |= np.frombuffer(zlib.decompress(r.bits), np.uint8)
+    return out
+
+
+def _kept(shared):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = np.unpackbits(shared.value).view(bool)
+        state: dict = {}
+        for b in batches:
+            out = []
+            for doc, s, e, h in _each(b, state):
+                p, q = _places(h)
+                at = np.flatnonzero(bits[p] & bits[q])
+                if len(at):
+                    after, before = np.append(h[1:], 0), np.append(0, h[:-1])
+                    out.append((np.full(len(at), doc), at, s[at], e[at], h[at], after[at], before[at]))
+            if out:
+                c = [np.concatenate(x) for x in zip(*out)]
+                yield pd.DataFrame({"doc": c[0], "at": c[1].astype(np.int32), "start": c[2].astype(np.int32), "end": c[3].astype(np.int32), "kmer": c[4], "next": c[5], "prev": c[6]})
+
+    return run
 
 
 def texts_of(docs: DataFrame, ident: str, text: str) -> DataFrame:
@@ -125,7 +175,9 @@ def paths(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFra
 
     ``one``: the path's k-mers occur once in each document of it.
     """
-    edges = stage(texts_of(docs, ident, text).mapInPandas(_kmers, KMER), "kmers")
+    texts = texts_of(docs, ident, text)
+    shared = docs.sparkSession.sparkContext.broadcast(repeated_filter(texts))
+    edges = stage(texts.mapInPandas(_kept(shared), KMER), "kmers")
     same = lambda c: F.min(c) == F.max(c)
     stats = edges.groupBy("kmer").agg(F.count("*").alias("n"), same("next").alias("out_one"), same("prev").alias("in_one")).where("n > 1")
     kept = edges.join(stats, "kmer")
