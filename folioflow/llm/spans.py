@@ -149,13 +149,13 @@ def repeated_filter(texts: DataFrame) -> np.ndarray:
 
 def _kept(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.unpackbits(shared.value).view(bool)
+        bits = shared.value
         state: dict = {}
         for b in batches:
             out = []
             for doc, s, e, h in _each(b, state):
                 p, q = _places(h)
-                at = np.flatnonzero(bits[p] & bits[q])
+                at = np.flatnonzero((bits[p >> 3] >> (7 - (p & 7))) & (bits[q >> 3] >> (7 - (q & 7))) & 1)
                 if len(at):
                     after, before = np.append(h[1:], 0), np.append(0, h[:-1])
                     out.append((np.full(len(at), doc), at, s[at], e[at], h[at], after[at], before[at]))
