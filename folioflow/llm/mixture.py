@@ -86,7 +86,7 @@ def plan(docs: DataFrame, targets: DataFrame, total: float | None = None) -> Dat
     rows = targets.where("source is not null").groupBy("source").agg(F.max(F.struct("target_share", "max_repeats")).alias("t")).select("source", "t.*").limit(100_001).collect()
     if len(rows) > 100_000:
         raise ValueError("too many sources in targets")
-    sizes = {r.source: r.n for r in docs.join(small(targets.select("source").distinct(), 100_000), "source", "left_semi").groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
+    sizes = {r.source: r.n for r in docs.select("source", "tokens").join(small(targets.select("source").distinct(), 100_000), "source", "left_semi").groupBy("source").agg(F.sum("tokens").alias("n")).collect()}
     shares, caps = {r.source: r.target_share or 0.0 for r in rows}, {r.source: r.max_repeats or 0 for r in rows}
     give = water_fill(shares, sizes, caps, total)
     out = []
@@ -105,7 +105,7 @@ def mixture(docs: DataFrame, planned: DataFrame, seed: int = 1, ident: str = "do
     ones share a place in the order); null sources and texts of no tokens give nothing.
     """
     key = F.xxhash64(F.lit(seed), F.col(ident).cast("string"))
-    d = docs.where("tokens > 0").join(small(planned, 100_000), "source").withColumn("_key", key).withColumn("_bucket", F.pmod("_key", F.lit(BUCKETS)))
+    d = docs.select(ident, "source", "tokens").where("tokens > 0").join(small(planned, 100_000), "source").withColumn("_key", key).withColumn("_bucket", F.pmod("_key", F.lit(BUCKETS)))
     totals = d.where("rest > 0").groupBy("source", "_bucket").agg(F.sum("tokens").alias("n"))
     before = F.sum("n").over(Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.withColumn("_before", F.coalesce(before, F.lit(0)))
@@ -113,8 +113,7 @@ def mixture(docs: DataFrame, planned: DataFrame, seed: int = 1, ident: str = "do
     inside = F.col("_after") <= F.col("rest")
     border = ~inside & (F.col("_before") < F.col("rest"))
     upto = F.sum("tokens").over(Window.partitionBy("source").orderBy("_key", ident))
-    base = ["*"]
-    edge = d.where(border).select(*base, (F.col("_before") + upto).alias("_upto")).withColumn("_extra", F.when(F.col("_upto") <= F.col("rest"), 1).otherwise(0)).drop("_upto")
+    edge = d.where(border).select("*", (F.col("_before") + upto).alias("_upto")).withColumn("_extra", F.when(F.col("_upto") <= F.col("rest"), 1).otherwise(0)).drop("_upto")
     rest = d.where(~F.coalesce(border, F.lit(False))).withColumn("_extra", F.when(F.coalesce(inside, F.lit(False)), 1).otherwise(0))
     return rest.unionByName(edge).select(ident, "source", "tokens", (F.col("whole") + F.col("_extra")).alias("repeats")).where("repeats > 0")
 

@@ -227,7 +227,7 @@ def test_water_fill():
 def test_mixture(spark):
     rng = random.Random(9)
     docs = [(i, rng.choice(["a", "a", "a", "b", "c", None]), rng.randint(0, 60)) for i in range(3000)]
-    df = spark.createDataFrame(docs, "doc_id long, source string, tokens long")
+    df = spark.createDataFrame(docs, "doc_id long, source string, tokens long").withColumns({"whole": F.lit("clash"), "rest": F.lit(0), "size": F.lit(1)})
     targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 3), ("c", 0.2, 1), ("gone", 0.0, 2)], "source string, target_share double, max_repeats int")
     planned = mixture.plan(df, targets)
     out = mixture.mixture(df, planned, seed=3)
