@@ -147,6 +147,20 @@ def test_linkage(spark):
     assert linkage.link(spark.createDataFrame([], schema), spark.createDataFrame(right, schema)).count() == 0
 
 
+def test_blocking_survives_added_words():
+    """A title's words all stand in another that adds rarer ones, by a shared author or by the title alone."""
+    draft = "reading bank tone with language models cross tests of local yields in brokuhusti".split()
+    published = [*draft[:3], "using", "large", *draft[4:]]
+    df = {w: 900 for w in {*draft, *published}} | {"bank": 240, "using": 20, "large": 30, "brokuhusti": 100, "tone": 110, "local": 300, "yields": 310}
+    for cores in (["librisove/w"], []):
+        a, b = (set(linkage.blocking_keys(ws, "".join(ws[:k]), False, cores, df, 10000)) for ws, k in ((draft, 6), (published, 7)))
+        assert a & b
+    longer = [*published, "four", "more", "rarer", "names"]
+    df |= {w: 10 for w in longer[-4:]}
+    keys = [set(linkage.blocking_keys(ws, "".join(ws[:k]), False, ["librisove/w"], df, 10000)) for ws, k in ((draft, 6), (longer, 7))]
+    assert keys[0] & keys[1]
+
+
 def test_em_separates():
     patterns = [(5, 0, 0, 3, 3), (0, 1, 0, 0, 3), (2, 1, 0, 0, None)]
     post = linkage.expectation_maximisation(patterns, np.array([50.0, 400.0, 50.0]))
