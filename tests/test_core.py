@@ -10,6 +10,7 @@ from folioflow.functions import documents as docs
 from folioflow.functions import query_language as Q
 from folioflow.functions import text as X
 from folioflow.operators import dedupe, filters, merge, rank, render, rules, state
+from folioflow.plans import core
 from folioflow.sources import readers
 from folioflow.sources.pages import LandedPages
 from folioflow.streaming.delivery import Delivery
@@ -223,3 +224,11 @@ def test_capped_and_batches(spark):
     assert max(r.batch for r in rank.batches(df, ["g"], [F.col("i")], 2).collect()) == 2
     with pytest.raises(Exception):
         readers.json_lines(spark, "/nonexistent", state.IDS).count()
+
+
+def test_bulk_merge_takes_every_order(spark, tmp_path):
+    d = f"file://{tmp_path}"
+    spark.createDataFrame([(1, 3, "O", "low"), (1, 7, "F", "high"), (2, 14, "P", "low")], "o_custkey long, o_orderkey long, o_orderstatus string, o_orderpriority string").write.parquet(f"{d}/orders.parquet")
+    spark.createDataFrame([(1, "a", "x"), (3, "", "y")], "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{d}/customer.parquet")
+    out = {r.key: tuple(r)[1:] for r in core.bulk_full_outer_merge(spark, d).collect()}
+    assert out == {1: ("a", 7, "F", "low;high"), 2: ("unknown", 14, "P", "low"), 3: ("unknown", None, None, None)}
