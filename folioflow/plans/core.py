@@ -466,8 +466,8 @@ _KEYS = """select o_orderkey, 'orders-' || strftime(o_orderdate, '%Y-%m-%d') day
 
 def note_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned notes, their first sentence, closed sentences."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Note:  "), F.substring_index("text", "\n", 1), F.lit(" ,; see prompt..")).alias("a"), F.concat(F.lit("Remark: "), F.substring_index("text", "\n", 1), F.lit(" ;, more..")).alias("b"))
-    return d.select("doc_id", render.clean_note(F.col("a")).alias("hidden"), render.clean_note(F.col("b")).alias("note"), X.first_sentence(F.col("b")).alias("first"), X.end_sentence(F.substring("b", 1, 40)).alias("closed"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Note:  "), "text", F.lit(" ,; see prompt..")).alias("a"), F.concat(F.lit("Remark: "), "text", F.lit(" ;, more..")).alias("b"))
+    return d.select("doc_id", render.clean_note(F.col("a")).alias("hidden"), render.clean_note(F.col("b")).alias("note"), X.first_sentence(F.col("b")).alias("first"), X.end_sentence(F.col("b")).alias("closed"))
 
 
 def _notes_sql() -> str:

@@ -232,3 +232,12 @@ def test_bulk_merge_takes_every_order(spark, tmp_path):
     spark.createDataFrame([(1, "a", "x"), (3, "", "y")], "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{d}/customer.parquet")
     out = {r.key: tuple(r)[1:] for r in core.bulk_full_outer_merge(spark, d).collect()}
     assert out == {1: ("a", 7, "F", "low;high"), 2: ("unknown", 14, "P", "low"), 3: ("unknown", None, None, None)}
+
+
+def test_notes_keep_the_whole_text(spark, tmp_path):
+    text = "A heading of more than forty characters in one line\nbody ,; of\nthe text.. Then more"
+    spark.createDataFrame([(1, text), (2, "title\nsee the JSON"), (3, None)], "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in core.note_sanitize(spark, f"file://{tmp_path}").collect()}
+    head = "A heading of more than forty characters in one line"
+    assert (out[1].note, out[1].first) == (f"{head} body, of the text. Then more;, more.".replace(";,", ";"), f"Remark: {head} body ,; of the text..")
+    assert out[1].closed == f"Remark: {head} body ,; of the text.. Then more ;, more.." and out[2].note == ""
