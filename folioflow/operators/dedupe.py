@@ -42,10 +42,11 @@ def by_first_key(df: DataFrame, by: list[str], keys: list[Column], order: str) -
     return once.unionByName(rows.where("_k is null").drop("_k"))
 
 
-def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | None = None, rounds: int = 60) -> DataFrame:
+def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | None = None, rounds: int = 60, groups: DataFrame | None = None) -> DataFrame:
     """Rows kept when each is dropped iff it shares a key with an already *kept* earlier row.
 
-    ``keys``: Columns whose equal non-empty values make duplicates; ``extra``: further pairs (a, b) of order values.
+    ``keys``: Columns whose equal non-empty values make duplicates; ``extra``: further pairs (a, b) of order values;
+    ``groups``: further keys (o, k), o an order value, whose rows are all duplicates of each other.
     Greedy in arrival order is the lexicographically first independent set. Each round settles, by aggregation on keys
     and not by pairs: an undecided row that is the first undecided one of all its keys, none of which a kept row holds,
     is kept; an undecided row is dropped if an earlier kept row holds one of its keys. Rounds follow chains of
@@ -57,6 +58,8 @@ def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | Non
     if extra is not None:
         pair = F.concat_ws("|", F.least("a", "b").cast("string"), F.greatest("a", "b").cast("string"))
         flat = flat.unionByName(extra.select(F.explode(F.array("a", "b")).alias("_o"), F.lit(n).alias("i"), pair.alias("k")))
+    if groups is not None:
+        flat = flat.unionByName(groups.select(F.col("o").alias("_o"), F.lit(n + 1).alias("i"), F.col("k").cast("string").alias("k")))
     flat = stage(flat, "greedy")
     kept = stage(base.join(flat.select("_o").distinct(), "_o", "left_anti").select("_o"), "greedy")
     undecided = flat
@@ -96,39 +99,69 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_similarity(x, y) if x is not None and y is not None else None for x, y in zip(a, b)], dtype="float64")
 
 
-def fuzzy_pairs(left: DataFrame, right: DataFrame, threshold: int = 96) -> DataFrame:
-    """left_id, right_id, similarity of the pairs of texts at or above the threshold. Both: id, text.
+def similar_texts(left: DataFrame, right: DataFrame, threshold: int = 96, once: bool = False) -> DataFrame:
+    """left_text, right_text, similarity of the different texts (column text) at or above the threshold.
 
-    Exact: with k = the most indels the threshold allows for a pair of lengths, one text cut into k + 1 segments has one
-    unchanged in the other, shifted by at most k places (pigeonhole). Segments meet by equality with the length, so no
-    cross join; equal texts are compared once. Empty and null texts match nothing.
+    Exact: with k = the most indels the threshold allows for a pair of lengths (k as odd or even as their sum), one text
+    is cut into k + 1 segments. The first segment i up to whose end at most i indels fall has none, exactly i before it
+    and at most k - i behind it (pigeonhole), so it stands in the other text, shifted by one of -i, -i + 2, ..., i places
+    that k - i indels can still make up for. Segments meet by equality with the lengths, so no cross join; edit distance
+    is never above indels and sorts out the rest. Empty and null texts match nothing. ``once``: both tables are the same;
+    each pair of two different texts comes once, the shorter first.
     """
-    part = lambda df: df.where("text <> ''").groupBy("text").agg(F.count("*").alias("n")).withColumn("len", F.length("text"))
+    part = lambda df: df.where("text <> ''").select("text").distinct().select("text", F.xxhash64("text").alias("t"), F.length("text").alias("len"))
     l, r = part(left), part(right)
     # Lengths of partners: LCS is at most the shorter text, so 2 * short / (short + long) >= threshold / 100.
-    span = lambda n: F.sequence(F.ceil(n * threshold / (200 - threshold)).cast("int"), F.floor(n * (200 - threshold) / threshold).cast("int"))
-    allowed = lambda a, b: F.floor((a + b) * (100 - threshold) / 100.0 + 1e-9).cast("int")
+    low = lambda n: F.ceil(n * threshold / (200 - threshold)).cast("int")
+    high = lambda n: F.floor(n * (200 - threshold) / threshold).cast("int")
+    most = lambda a, b: F.floor((a + b) * (100 - threshold) / 100.0 + 1e-9).cast("int")
     cut = lambda n, k, i: F.floor(n * i / (k + 1)).cast("int")
-    rk = r.select("text", "len", F.explode(span(F.col("len"))).alias("other"))
-    rk = rk.withColumn("k", allowed(F.col("len"), F.col("other"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
-    rk = rk.withColumn("at", cut(F.col("len"), F.col("k"), F.col("i"))).withColumn("size", cut(F.col("len"), F.col("k"), F.col("i") + 1) - F.col("at"))
-    rk = rk.select(F.col("text").alias("right_text"), "len", "other", "i", F.xxhash64(F.substring("text", F.col("at") + 1, F.col("size"))).alias("h"))
-    lk = l.select("text", F.col("len").alias("other"), F.explode(span(F.col("len"))).alias("len"))
-    lk = lk.withColumn("k", allowed(F.col("len"), F.col("other"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k"))))
-    lk = lk.withColumn("at", cut(F.col("len"), F.col("k"), F.col("i"))).withColumn("size", cut(F.col("len"), F.col("k"), F.col("i") + 1) - F.col("at"))
-    low, high = F.greatest(F.lit(0), F.col("at") - F.col("k")), F.least(F.col("other") - F.col("size"), F.col("at") + F.col("k"))
-    lk = lk.where(low <= high).withColumn("p", F.explode(F.sequence(low, high)))
-    lk = lk.select(F.col("text").alias("left_text"), "len", "other", "i", F.xxhash64(F.substring("text", F.col("p") + 1, F.col("size"))).alias("h"))
-    met = lk.join(rk, ["len", "other", "i", "h"]).select("left_text", "right_text").distinct()
-    scored = met.withColumn("similarity", similarity("left_text", "right_text")).where(F.col("similarity") >= threshold)
+
+    def segments(df: DataFrame) -> DataFrame:
+        """With a, b: lengths of the left and right text; segment i of the right one: at, size."""
+        df = df.withColumn("k", most(F.col("a"), F.col("b"))).withColumn("k", F.col("k") - F.pmod(F.col("k") + F.col("a") + F.col("b"), F.lit(2))).where("k >= 0")
+        df = df.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k")))).withColumn("at", cut(F.col("b"), F.col("k"), F.col("i")))
+        return df.withColumn("size", cut(F.col("b"), F.col("k"), F.col("i") + 1) - F.col("at"))
+
+    key = lambda at: F.xxhash64("a", "b", "i", F.substring("text", at + 1, F.col("size"))).alias("h")
+    n = F.col("len")
+    rk = segments(r.select("text", "t", n.alias("b"), F.explode(F.sequence(low(n), n if once else high(n))).alias("a")))
+    rk = rk.select(F.col("t").alias("rt"), key(F.col("at")))
+    lk = segments(l.select("text", "t", n.alias("a"), F.explode(F.sequence(n if once else low(n), high(n))).alias("b")))
+    gap, left_over = F.col("a") - F.col("b"), F.col("k") - F.col("i")
+    first, last = F.greatest(-F.col("i"), gap - left_over), F.least(F.col("i"), gap + left_over)
+    lk = lk.withColumns({"first": first, "last": last}).where("first <= last").withColumn("shift", F.explode(F.sequence("first", "last", F.lit(2)))).withColumn("p", F.col("at") + F.col("shift"))
+    lk = lk.where((F.col("p") >= 0) & (F.col("p") <= F.col("a") - F.col("size"))).select(F.col("t").alias("lt"), key(F.col("p")))
+    met = lk.join(rk, "h").where(F.col("lt") != F.col("rt")).select("lt", "rt").distinct()
+    met = met.join(l.select(F.col("t").alias("lt"), F.col("text").alias("left_text")), "lt").join(r.select(F.col("t").alias("rt"), F.col("text").alias("right_text")), "rt")
+    near = F.expr(f"levenshtein(left_text, right_text, cast(floor((length(left_text) + length(right_text)) * {100 - threshold} / 100.0D + 1e-9D) as int)) >= 0")
+    met = met.where(near)
+    if once:
+        met = met.where((F.length("left_text") < F.length("right_text")) | (F.col("left_text") < F.col("right_text")))
+    return met.select("left_text", "right_text").withColumn("similarity", similarity("left_text", "right_text")).where(F.col("similarity") >= threshold)
+
+
+def fuzzy_pairs(left: DataFrame, right: DataFrame, threshold: int = 96) -> DataFrame:
+    """left_id, right_id, similarity of the pairs of texts at or above the threshold, equal ones included. Both: id, text."""
     a = left.select(F.col("id").alias("left_id"), F.col("text").alias("left_text"))
     b = right.select(F.col("id").alias("right_id"), F.col("text").alias("right_text"))
-    return a.join(scored, "left_text").join(b, "right_text").select("left_id", "right_id", "similarity")
+    equal = a.where("left_text <> ''").join(b, F.col("left_text") == F.col("right_text")).select("left_id", "right_id", F.lit(100.0).alias("similarity"))
+    return a.join(similar_texts(left, right, threshold), "left_text").join(b, "right_text").select("left_id", "right_id", "similarity").unionByName(equal)
+
 
+def similar_groups(df: DataFrame, order: str, title: str, threshold: int = 96) -> DataFrame:
+    """``greedy``'s groups by similar titles: each pair of similar titles is a key of all rows with either, so copies are not paired."""
+    t = df.select(F.col(order).alias("o"), F.col(title).alias("text"))
+    pair = F.struct(F.xxhash64("left_text", "right_text").alias("k"), F.array("left_text", "right_text").alias("both"))
+    keys = similar_texts(t, t, threshold, once=True).select(pair.alias("p")).select("p.k", F.explode("p.both").alias("text"))
+    return t.join(keys, "text").select("o", "k")
 
-def known_reason(df: DataFrame, state: DataFrame, keys: list[tuple[str, str]], order: str) -> DataFrame:
+
+def known_reason(df: DataFrame, state: DataFrame, keys: list[tuple[str, str]], order: str, similar: tuple[str, str] | None = None) -> DataFrame:
     """Adds ``reason``: the first of ``keys`` (name, column) by which the row stands in ``state``; null for new rows.
 
+    ``similar``: a last (name, column), by a similarity of 96 or more with a value in ``state``.
+
     State is reduced to distinct values of each key first, so a value that many stored rows share joins as one.
     """
     out = df
@@ -136,7 +169,14 @@ def known_reason(df: DataFrame, state: DataFrame, keys: list[tuple[str, str]], o
         own = state.select(F.col(column).alias(f"_v{i}")).where(f"_v{i} <> ''").distinct().withColumn(f"_hit{i}", F.lit(True))
         out = out.join(own, F.col(column) == F.col(f"_v{i}"), "left").drop(f"_v{i}")
     reason = F.coalesce(*[F.when(F.col(f"_hit{i}"), F.lit(name)) for i, (name, _) in enumerate(keys)])
-    return out.withColumn("reason", reason).drop(*[f"_hit{i}" for i in range(len(keys))])
+    out = out.withColumn("reason", reason).drop(*[f"_hit{i}" for i in range(len(keys))])
+    if similar is None:
+        return out
+    name, column = similar
+    fresh = out.where("reason is null").select(F.col(column).alias("text"))
+    near = similar_texts(fresh, state.select(F.col(column).alias("text"))).select(F.col("left_text").alias("_v")).distinct().withColumn("_near", F.lit(True))
+    out = out.join(near, F.col(column) == F.col("_v"), "left")
+    return out.withColumn("reason", F.coalesce("reason", F.when(F.col("_near"), F.lit(name)))).drop("_v", "_near")
 
 
 def split_preferred(df: DataFrame, preferred: Column, order: list[Column]) -> DataFrame:

@@ -331,7 +331,7 @@ def pushed_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pushed_match_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By which key an incoming row is known, in order of precedence."""
     i, a = table(spark, sf_dir, "incoming_papers"), table(spark, sf_dir, "accepted_papers")
-    known = dedupe.known_reason(i, a, [("paper_id", "paper_id"), ("canonical_url", "canonical_url"), ("title", "normalized_title")], "hist_no")
+    known = dedupe.known_reason(i, a, [("paper_id", "paper_id"), ("canonical_url", "canonical_url"), ("title", "normalized_title")], "hist_no", ("title_similarity", "normalized_title"))
     return known.where("reason is not null").select("arrival_no", "reason")
 
 
@@ -348,9 +348,10 @@ def fuzzy_title_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def greedy_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows kept by first-wins on id and address."""
-    p = _papers(spark, sf_dir).select("row_no", "paper_id", "canonical_url")
-    return dedupe.greedy(p, "row_no", [F.col("paper_id"), F.col("canonical_url")]).select("row_no")
+    """Rows kept by first-wins on id, address and title, equal or at 96 or more on the indel ratio."""
+    p = _papers(spark, sf_dir).select("row_no", "paper_id", "canonical_url", "normalized_title")
+    keys = [F.col("paper_id"), F.col("canonical_url"), F.col("normalized_title")]
+    return dedupe.greedy(p, "row_no", keys, groups=dedupe.similar_groups(p, "row_no", "normalized_title")).select("row_no")
 
 
 def provenance_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -547,7 +548,7 @@ def ranked_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = r.where(filters.within(D.parse_date(F.col("date")), 2000, AS_OF))
     priority = rank.lookup(F.col("bucket"), {"core": 3, "tooling": 2, "adjacent": 1}, 0)
     r = rank.accepted(rank.top(r, [priority.desc(), F.col("score").desc(), F.col("row_no")], 120), F.col("verdict"))
-    r = dedupe.known_reason(r, table(spark, sf_dir, "accepted_papers"), [("paper_id", "paper_id"), ("canonical_url", "canonical_url"), ("title", "normalized_title")], "hist_no").where("reason is null")
+    r = dedupe.known_reason(r, table(spark, sf_dir, "accepted_papers"), [("paper_id", "paper_id"), ("canonical_url", "canonical_url"), ("title", "normalized_title")], "hist_no", ("title_similarity", "normalized_title")).where("reason is null")
     return rank.balanced(r, [F.col("final").desc(), F.col("row_no")], "bucket", "core", 6, "tooling", 4, 20).select("place", "row_no", "bucket", "final", "title")
 
 

@@ -241,3 +241,26 @@ def test_notes_keep_the_whole_text(spark, tmp_path):
     head = "A heading of more than forty characters in one line"
     assert (out[1].note, out[1].first) == (f"{head} body, of the text. Then more;, more.".replace(";,", ";"), f"Remark: {head} body ,; of the text..")
     assert out[1].closed == f"Remark: {head} body ,; of the text.. Then more ;, more.." and out[2].note == ""
+
+
+def test_similar_titles_are_known(spark, tmp_path):
+    rng = random.Random(8)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(30, 70))).strip() for _ in range(12)]
+    titles = [t if rng.random() < 0.3 else t[:i] + rng.choice("abcxyz") * rng.randint(0, 2) + t[i + rng.randint(0, 2) :] for t in base * 5 for i in [rng.randrange(len(t))]] + ["", None]
+    rng.shuffle(titles)
+    rows = [(i, rng.choice([f"p{i}", "p"]), rng.choice([f"u{i}", "u", None]), t) for i, t in enumerate(titles)]
+    kept, reasons = [], {}
+    for o, p, u, t in rows:
+        if not any(p == q or (u and u == v) or (t and x and dedupe.indel_similarity(t, x) >= 96) for _, q, v, x in kept):
+            kept.append((o, p, u, t))
+    d = f"file://{tmp_path}"
+    schema = "o long, paper_id string, canonical_url string, normalized_title string"
+    spark.createDataFrame(rows, schema).withColumnRenamed("o", "row_no").write.parquet(f"{d}/papers.parquet")
+    assert sorted(r.row_no for r in core.greedy_dedupe(spark, d).collect()) == [r[0] for r in kept]
+    stored = [(i, f"s{i}", None, t) for i, t in enumerate(base[:6])]
+    spark.createDataFrame(stored, schema).withColumnRenamed("o", "hist_no").write.parquet(f"{d}/accepted_papers.parquet")
+    spark.createDataFrame(rows, schema).withColumnRenamed("o", "arrival_no").write.parquet(f"{d}/incoming_papers.parquet")
+    for o, _, _, t in rows:
+        if t and any(dedupe.indel_similarity(t, x) >= 96 for x in base[:6]):
+            reasons[o] = "title" if t in base[:6] else "title_similarity"
+    assert {r.arrival_no: r.reason for r in core.pushed_match_reason(spark, d).collect()} == reasons and {*reasons.values()} == {"title", "title_similarity"}
