@@ -1,40 +1,49 @@
-"""Long exact spans shared between records, by compaction of a de Bruijn graph of token k-mers.
+"""Long exact spans shared between records, by compaction of a sparse de Bruijn graph of token k-mers.
 
 Tokens are runs of word characters and single other characters; runs over LONG characters count as single characters, so
 equal stretches of text have equal tokens except in the first and last LONG characters. From every token starts one
-k-mer: the fewest tokens that cover SPAN - 2 * LONG characters, so any shared stretch of SPAN characters holds a whole
-k-mer. K-mers are the graph's edges; consecutive ones share all tokens but the ends.
-
-1. Texts are hashed (64-bit polynomial hashes of characters by prefix sums, vectorised) and k-mers counted by hash; those
-   that repeat set bits in a filter of fixed size. A second scan keeps the occurrences that pass it, with coordinates.
-2. A k-mer is unbranched if all its occurrences have the same successor and predecessor. Joined back, each document's
-   maximal unbranched stretches become one row each: a compacted path named by its first k-mer, with source coordinates.
-   All copies of a path are cut at the same places, so paths meet by equality, one row per path and document.
-3. Documents that meet in a path get its coordinates joined into stretches along equal offsets; what reaches SPAN only
-   with characters of cut tokens at its ends is settled on the texts.
+k-mer: the fewest tokens that cover REACH characters. K-mers are the graph's edges. Of every WINDOW characters only the
+k-mer of least hash is kept (the rightmost of equals): a shared stretch of SPAN characters holds WINDOW places in a row
+whose k-mers lie whole in it, so both texts keep the same one of them (see ``SPAN``). Kept neighbours overlap.
+
+1. One scan hashes the texts (64-bit polynomial hashes of characters by prefix sums, vectorised over many texts) and keeps
+   the k-mers as above. Those that stand in two documents or more remain, by an aggregation and a join on the hash.
+2. A k-mer is unbranched if all its occurrences have the same successor and predecessor at the same distance. Joined
+   back, each document's maximal unbranched stretches become one row each: a compacted path named by its first k-mer,
+   with source coordinates. All copies of a path are cut at the same places, so paths meet by equality.
+3. The coordinates are held against the texts: each path's characters are digested anew, and what lies around it, up to
+   SPAN - REACH characters a side, is compared by hashes of prefixes. A path shorter than SPAN counts only for documents
+   that also share enough around it: they meet in an exact window of SPAN characters that holds the path. So documents
+   meet only in groups that really share a span, and no pair is made that is no result.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import stage, table
+from ..runtime import ship, stage, table
 
-#: Least shared span in characters, and the longest run of word characters that counts as one token.
-SPAN, LONG = 400, 24
-REACH = SPAN - 2 * LONG
+#: Least shared span in characters, the longest run of word characters that counts as one token, least characters of a
+#: k-mer, and the window of places of which one k-mer is kept. A k-mer ends less than LONG characters after REACH, so
+#: WINDOW + REACH + 3 * LONG <= SPAN + 2 places every window that a shared span needs whole inside it.
+SPAN, LONG, REACH, WINDOW = 400, 24, 200, 128
+#: Characters around a path that can matter, and the step of the first of two rounds that measure how many are shared.
+AROUND, COARSE = SPAN - REACH, 14
+assert WINDOW + REACH + 3 * LONG <= SPAN + 2 and WINDOW < REACH and WINDOW & (WINDOW - 1) == 0
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
-_BLOCK = 1 << 20
+#: Characters handled at once (a longer text is a block of its own), and bits of a place in a segment of it.
+_BLOCK, _PLACE = 1 << 17, 22
+_NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-KMER = T.StructType([T.StructField("doc", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kmer", T.LongType()), T.StructField("next", T.LongType()), T.StructField("prev", T.LongType())])
+KMER = T.StructType([T.StructField("doc", T.LongType()), T.StructField("uid", T.LongType()), T.StructField("at", T.IntegerType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kmer", T.LongType())])
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -57,18 +66,16 @@ def _scramble(codes: np.ndarray) -> np.ndarray:
 
 
 def token_starts(codes: np.ndarray, wordlike: np.ndarray) -> np.ndarray:
-    """Places where tokens begin; the length of the text is the last entry. White space is no token of its own."""
+    """Places where tokens begin. Every character that is part of no word run is a token of its own, white space too."""
     n = len(codes)
     w = wordlike[codes]
     change = np.flatnonzero(w[1:] != w[:-1]) + 1
-    begins = np.concatenate([[0], change]).astype(np.int64)
-    ends = np.concatenate([change, [n]]).astype(np.int64)
-    start = np.zeros(n, bool)
-    is_run = (w[begins] == 1) & (ends - begins <= LONG)
-    start[begins[is_run]] = True
-    single = np.repeat(~is_run, ends - begins)
-    start |= single
-    return np.append(np.flatnonzero(start), n)
+    begins = np.concatenate([[0], change])
+    sizes = np.diff(np.append(begins, n))
+    runs = (w[begins] == 1) & (sizes <= LONG)
+    start = np.repeat(~runs, sizes)
+    start[begins] = True
+    return np.flatnonzero(start)
 
 
 def _wordlike() -> np.ndarray:
@@ -80,174 +87,208 @@ def _wordlike() -> np.ndarray:
     return out
 
 
-def kmers(text: str, wordlike: np.ndarray, power: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """start, end, hash of the k-mer that begins at each token."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+def kept_places(order: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Sorted places that hold the least value (the rightmost of equals) of some window of WINDOW places.
+
+    ``order``: 64-bit values, _NONE where no k-mer starts; ``inside``: for each place whether a window may start there.
+    """
+    out, size = [], 1 << (_PLACE - 1)
+    low = np.uint64((1 << _PLACE) - 1)
+    for a in range(0, len(order), size):
+        v = order[a : a + size + WINDOW - 1]
+        if len(v) < WINDOW:
+            break
+        v = np.where(v == _NONE, _NONE, (v & ~low) | (low - np.arange(len(v), dtype=np.uint64)))
+        w = 1
+        while w < WINDOW:
+            v = np.minimum(v[:-w], v[w:])
+            w *= 2
+        v = v[inside[a : a + len(v)] & (v != _NONE)]
+        at = (low - (v & low)).astype(np.int64) + a
+        out.append(at[np.append(True, at[1:] != at[:-1])] if len(at) else at)
+    return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
+
+
+def kmers(texts: list[str], tables: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """text number, start, end, hash of the k-mers kept of each text, in order. ``tables`` is kept between calls."""
+    codes = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
     n = len(codes)
-    if n < REACH:
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),)
-    marks = token_starts(codes, wordlike)
-    starts = marks[:-1]
-    where = np.searchsorted(marks, starts + REACH)
-    starts = starts[where < len(marks)]
-    ends = marks[where[where < len(marks)]]
+    if tables.get("size", 0) < n:
+        size = max(2 * _BLOCK, n)
+        tables |= {"size": size, "power": _powers(_MULTIPLIER, size), "inverse": _powers(_INVERSE, size)}
+    if "word" not in tables:
+        tables["word"] = _wordlike()
+    sizes = np.array([len(t) for t in texts]) + 1
+    ends = np.cumsum(sizes) - 1
+    end_of = np.repeat(ends, sizes)
+    starts = token_starts(codes, tables["word"])
+    where = np.searchsorted(starts, starts + REACH)
+    whole = where < len(starts)
+    begin, finish = starts[whole], starts[where[whole]]
+    whole = finish <= end_of[begin]
+    begin, finish = begin[whole], finish[whole]
     with np.errstate(over="ignore"):
-        prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_scramble(codes) * power[:n], dtype=np.uint64)])
-        h = (prefix[ends] - prefix[starts]) * inverse[starts]
-        h ^= (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return starts, ends, h
-
-
-def _each(batch: pd.DataFrame, state: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """doc, start, end, hash of each text of a batch that has k-mers; ``state`` keeps the tables between batches."""
-    if not state:
-        state |= {"word": _wordlike(), "size": 0}
-    for doc, text in zip(batch["doc"], batch["text"]):
-        if len(text) > state["size"]:
-            size = max(_BLOCK, len(text))
-            state |= {"size": size, "power": _powers(_MULTIPLIER, size), "inverse": _powers(_INVERSE, size)}
-        s, e, h = kmers(text, state["word"], state["power"], state["inverse"])
-        if len(s):
-            yield doc, s, e, h.view(np.int64)
-
-
-def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    state: dict = {}
+        prefix = np.zeros(n + 1, np.uint64)
+        np.cumsum(_scramble(codes) * tables["power"][:n], dtype=np.uint64, out=prefix[1:])
+        h = (prefix[finish] - prefix[begin]) * tables["inverse"][begin]
+        h ^= (finish - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        mixed = h * np.uint64(0xFF51AFD7ED558CCD)
+        mixed ^= mixed >> np.uint64(32)
+    order = np.full(n, _NONE)
+    order[begin] = mixed
+    at = np.searchsorted(begin, kept_places(order, np.arange(n) + WINDOW <= end_of))
+    which = np.searchsorted(ends, begin[at])
+    first = (ends - sizes + 1)[which]
+    return which, begin[at] - first, finish[at] - first, h[at].view(np.int64)
+
+
+def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    tables: dict = {}
     for b in batches:
-        out = [h for _, _, _, h in _each(b, state)]
-        if out:
-            yield pd.DataFrame({"kmer": np.concatenate(out)})
+        doc, uid, texts = b["doc"].to_numpy(), b["uid"].to_numpy(), b["text"].tolist()
+        block, size = 0, 0
+        for k in range(1, len(texts) + 1):
+            size += len(texts[k - 1])
+            if k == len(texts) or size + len(texts[k]) > _BLOCK:
+                which, s, e, h = kmers(texts[block:k], tables)
+                if len(which):
+                    at = np.arange(len(which)) - np.searchsorted(which, which)
+                    yield pd.DataFrame({"doc": doc[block:k][which], "uid": uid[block:k][which], "at": at.astype(np.int32), "start": s.astype(np.int32), "end": e.astype(np.int32), "kmer": h})
+                block, size = k, 0
+
 
+def texts_of(docs: DataFrame, ident: str, text: str) -> DataFrame:
+    """doc, uid, text of the texts that can share a span. Rows with one id and one text are one; uid tells others apart."""
+    ship(docs.sparkSession)
+    return docs.select(F.col(ident).cast("long").alias("doc"), F.xxhash64(text).alias("uid"), F.col(text).alias("text")).where(F.col("doc").isNotNull() & (F.length("text") >= SPAN))
 
-#: Bits of the filter of repeated k-mers: a fixed size, whatever the corpus. Where it fills up, more k-mers that occur
-#: once pass it, and the exact count after it removes them; none that repeats is ever lost.
-FILTER_BITS = 1 << 26
 
+def _elsewhere(df: DataFrame, *keys: str) -> DataFrame:
+    """The keys that stand in two documents or more; aggregated before anything is joined, so hot keys shrink early."""
+    return df.groupBy(*keys).agg(F.min("doc").alias("_lo"), F.max("doc").alias("_hi")).where("_lo < _hi").select(*keys)
 
-def _places(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    u = h.view(np.uint64)
-    return (u >> np.uint64(38)).astype(np.int64), ((u >> np.uint64(7)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
+def paths(texts: DataFrame) -> DataFrame:
+    """doc, uid, path, start, end: each document's compacted repeated paths with their place (characters) in it."""
+    edges = stage(texts.mapInPandas(_edges, KMER), "kmers")
+    kept = stage(edges.join(_elsewhere(edges, "kmer"), "kmer").distinct(), "kmers")
+    w = Window.partitionBy("doc", "uid").orderBy("at")
 
-def repeated_filter(texts: DataFrame) -> np.ndarray:
-    """Bits (packed) set for every k-mer that occurs twice or more. Only hashes are shuffled: 8 bytes a token."""
+    def beside(step: Column, side) -> Column:
+        return F.when(side("at").over(w) == F.col("at") + step, F.xxhash64(side("kmer").over(w), F.abs(side("start").over(w) - F.col("start"))))
 
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = np.zeros(FILTER_BITS, bool)
-        for b in batches:
-            for at in _places(b["kmer"].to_numpy()):
-                bits[at] = True
-        if bits.any():
-            yield pd.DataFrame({"bits": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
+    kept = kept.withColumns({"next": beside(F.lit(1), F.lead), "prev": beside(F.lit(-1), F.lag)})
+    one = lambda c: (F.count(c) == F.count("*")) & (F.min(c) == F.max(c))
+    stats = kept.groupBy("kmer").agg(one("next").alias("out_one"), one("prev").alias("in_one"))
+    kept = kept.join(stats, "kmer")
+    # A path begins where the k-mer before is not repeated, or branches, or this one is reached in several ways.
+    joined = (F.lag("at").over(w) == F.col("at") - 1) & F.lag("out_one").over(w) & F.col("in_one")
+    runs = kept.withColumn("run", F.sum(F.when(F.coalesce(joined, F.lit(False)), 0).otherwise(1)).over(w))
+    return runs.groupBy("doc", "uid", "run").agg(F.min_by("kmer", "at").alias("path"), F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
 
-    twice = texts.mapInPandas(_hashes, "kmer long").groupBy("kmer").agg(F.count("*").alias("n")).where("n > 1").select("kmer").coalesce(16)
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for r in twice.mapInPandas(mark, "bits binary").toLocalIterator():
-        out |= np.frombuffer(zlib.decompress(r.bits), np.uint8)
-    return out
 
+PLACE = T.StructType([T.StructField("doc", T.LongType()), T.StructField("uid", T.LongType()), T.StructField("path", T.LongType()), T.StructField("digest", T.LongType()), T.StructField("start", T.IntegerType()), T.StructField("size", T.IntegerType()), T.StructField("left", T.StringType()), T.StructField("right", T.StringType())])
 
-def _kept(shared):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = shared.value
-        state: dict = {}
-        for b in batches:
-            out = []
-            for doc, s, e, h in _each(b, state):
-                p, q = _places(h)
-                at = np.flatnonzero((bits[p >> 3] >> (7 - (p & 7))) & (bits[q >> 3] >> (7 - (q & 7))) & 1)
-                if len(at):
-                    after, before = np.append(h[1:], 0), np.append(0, h[:-1])
-                    out.append((np.full(len(at), doc), at, s[at], e[at], h[at], after[at], before[at]))
-            if out:
-                c = [np.concatenate(x) for x in zip(*out)]
-                yield pd.DataFrame({"doc": c[0], "at": c[1].astype(np.int32), "start": c[2].astype(np.int32), "end": c[3].astype(np.int32), "kmer": c[4], "next": c[5], "prev": c[6]})
 
-    return run
+def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = []
+        for doc, uid, text, spans in zip(b["doc"], b["uid"], b["text"], b["spans"]):
+            for p in spans:
+                s, e = p["start"], p["end"]
+                digest = xxhash.xxh3_64_intdigest(text[s:e].encode("utf-8", "surrogatepass")) - (1 << 63)
+                out.append((doc, uid, p["path"], digest, s, e - s, text[max(0, s - AROUND) : s][::-1], text[e : e + AROUND]))
+        if out:
+            yield pd.DataFrame(out, columns=PLACE.names)
 
 
-def texts_of(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    return docs.select(F.col(ident).cast("long").alias("doc"), F.col(text).alias("text")).where(F.col("doc").isNotNull() & (F.length("text") >= REACH))
+def places(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+    """The paths with a digest of their characters and the characters around them (``left`` reads backwards)."""
+    texts = texts_of(docs, ident, text)
+    spans = paths(texts).groupBy("doc", "uid").agg(F.collect_list(F.struct("path", "start", "end")).alias("spans"))
+    held = texts.join(spans, ["doc", "uid"]).select("doc", "uid", "text", "spans").mapInPandas(_places, PLACE)
+    return stage(held, "places")
 
 
-def paths(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc, path, start, end, one: each document's compacted repeated paths with their place (characters) in it.
+def around(found: DataFrame) -> DataFrame:
+    """Adds reach_left, reach_right: the most characters before and behind that another document shares with the path.
 
-    ``one``: the path's k-mers occur once in each document of it.
+    Equal surroundings are one row; the longest shared prefix is found in two rounds of hashes, coarse and fine.
     """
-    texts = texts_of(docs, ident, text)
-    shared = docs.sparkSession.sparkContext.broadcast(repeated_filter(texts))
-    edges = stage(texts.mapInPandas(_kept(shared), KMER), "kmers")
-    same = lambda c: F.min(c) == F.max(c)
-    stats = edges.groupBy("kmer").agg(F.count("*").alias("n"), same("next").alias("out_one"), same("prev").alias("in_one")).where("n > 1")
-    kept = edges.join(stats, "kmer")
-    # A path begins where the k-mer before is not repeated, or branches, or this one is reached in several ways.
-    w = Window.partitionBy("doc").orderBy("at")
-    joined = (F.lag("at").over(w) == F.col("at") - 1) & F.lag("out_one").over(w) & F.col("in_one")
-    runs = kept.withColumn("head", F.when(F.coalesce(joined, F.lit(False)), 0).otherwise(1)).withColumn("run", F.sum("head").over(w))
-    return runs.groupBy("doc", "run").agg(F.min_by("kmer", "at").alias("path"), F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
+    sides = found.select("doc", "path", "digest", F.explode(F.create_map(F.lit("left"), F.col("left"), F.lit("right"), F.col("right"))).alias("side", "near"))
+    sides = stage(sides.groupBy("path", "digest", "side", "near").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")), "around")
+    keys = ["path", "digest", "side", "near"]
+
+    def shared(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("h").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi")).where("_lo < _hi").select("h")
+
+    level = F.xxhash64("path", "digest", "side", "n", F.expr("substring(near, 1, n)"))
+    upto = lambda levels: F.filter(levels, lambda n: n <= F.length("near"))
+    steps = upto(F.sequence(F.lit(0), F.lit(AROUND), F.lit(COARSE)))
+    rows = stage(sides.withColumn("n", F.explode(steps)).withColumn("h", level), "around")
+    far = stage(rows.join(shared(rows), "h").groupBy(*keys).agg(F.max(F.struct("n", "h")).alias("far")), "around")
+    # Whoever has the prefix that somebody else got to takes part in the finer round from there.
+    rows = rows.join(far.select("far.h").distinct(), "h").withColumn("n", F.explode(upto(F.sequence(F.col("n") + 1, F.col("n") + COARSE - 1)))).withColumn("h", level)
+    more = rows.join(shared(rows), "h").groupBy(*keys).agg(F.max("n").alias("more"))
+    known = sides.select(*keys).join(far, keys, "left").join(more, keys, "left").select(*keys, F.coalesce(F.greatest("far.n", "more"), F.lit(0)).alias("reach"))
+    out = found
+    for side in ("left", "right"):
+        own = known.where(F.col("side") == side).select("path", "digest", F.col("near").alias(side), F.col("reach").alias(f"reach_{side}"))
+        out = out.join(own, ["path", "digest", side])
+    return out
 
 
-def shared_stretches(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_a, doc_b (doc_a < doc_b), shift, start, end: stretches of whole tokens, in doc_a's characters, equal in both.
+def windows(short: DataFrame) -> DataFrame:
+    """Of paths under SPAN (with reaches): doc, uid, start, size, ahead, key: exact windows of SPAN characters that hold the path and stand elsewhere.
 
-    Pairs are made only of documents that meet in a compacted path, that is share at least REACH characters.
+    ``ahead``: characters of the window before the path. Only windows that both reaches allow are looked at.
     """
-    p = stage(paths(docs, ident, text), "paths")
-    a = p.select("path", F.col("doc").alias("doc_a"), "start", "end")
-    b = p.select("path", F.col("doc").alias("doc_b"), F.col("start").alias("other"))
-    met = a.join(b, "path").where("doc_a < doc_b").select("doc_a", "doc_b", (F.col("other") - F.col("start")).alias("shift"), "start", "end")
-    w = Window.partitionBy("doc_a", "doc_b", "shift").orderBy("start", "end")
-    ahead = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = met.withColumn("new", F.when(F.col("start") <= ahead, 0).otherwise(1)).withColumn("group", F.sum("new").over(w))
-    return marked.groupBy("doc_a", "doc_b", "shift", "group").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("group")
-
-
-@F.pandas_udf(T.IntegerType())
-def _grown(a: pd.Series, b: pd.Series, start: pd.Series, end: pd.Series, shift: pd.Series) -> pd.Series:
-    """Length of the stretch with the equal characters on either side; 0 if it isn't equal."""
-    out = []
-    for x, y, s, e, d in zip(a, b, start, end, shift):
-        if x[s:e] != y[s + d : e + d]:
-            out.append(0)
-            continue
-        while s > 0 and s + d > 0 and x[s - 1] == y[s + d - 1]:
-            s -= 1
-        while e < len(x) and e + d < len(y) and x[e] == y[e + d]:
-            e += 1
-        out.append(e - s)
-    return pd.Series(out, dtype="int32")
+    lack = F.lit(SPAN) - F.col("size")
+    span = F.sequence(F.greatest(F.lit(0), lack - F.col("reach_right")), F.least("reach_left", lack))
+    all_ = short.where(F.col("reach_left") + F.col("reach_right") >= lack).withColumn("ahead", F.explode(span))
+    key = F.xxhash64("path", "ahead", F.expr("substring(left, 1, ahead)"), F.expr(f"substring(right, 1, {SPAN} - size - ahead)"))
+    all_ = all_.select("doc", "uid", "start", "size", "path", "digest", "ahead", key.alias("key"))
+    return all_.join(_elsewhere(all_, "digest", "key"), ["digest", "key"])
 
 
 def sharing_pairs(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_a, doc_b (doc_a < doc_b) of each pair of documents that share SPAN characters or more, verbatim.
 
     Null ids and texts share nothing; an id that stands twice counts as one document. Texts of any length are read whole.
+    Groups that hold the same documents are paired once.
     """
-    best = shared_stretches(docs, ident, text).groupBy("doc_a", "doc_b").agg(F.max(F.struct((F.col("end") - F.col("start")).alias("n"), "start", "end", "shift")).alias("m"), F.collect_set(F.struct("start", "end", "shift")).alias("all"))
-    best = stage(best, "stretches")
-    sure = best.where(F.col("m.n") >= SPAN).select("doc_a", "doc_b")
-    t = texts_of(docs, ident, text)
-    doubt = best.where(F.col("m.n") < SPAN).select("doc_a", "doc_b", F.explode("all").alias("m"))
-    doubt = doubt.join(t.select(F.col("doc").alias("doc_a"), F.col("text").alias("text_a")), "doc_a").join(t.select(F.col("doc").alias("doc_b"), F.col("text").alias("text_b")), "doc_b")
-    doubt = doubt.where(_grown("text_a", "text_b", F.col("m.start"), F.col("m.end"), F.col("m.shift")) >= SPAN)
-    return sure.unionByName(doubt.select("doc_a", "doc_b").distinct())
+    found = places(docs, ident, text)
+    long = found.where(F.col("size") >= SPAN).select("doc", F.col("path").alias("key"), "digest")
+    short = windows(around(found.where(F.col("size") < SPAN))).select("doc", "key", "digest")
+    member = stage(long.unionByName(short).distinct(), "members")
+    groups = member.groupBy("key", "digest").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.bit_xor(F.xxhash64("doc", F.lit(1))).alias("y")).where("lo < hi")
+    once = groups.groupBy("lo", "hi", "n", "x", "y").agg(F.min(F.struct("key", "digest")).alias("g")).select("g.key", "g.digest")
+    member = member.join(once, ["key", "digest"])
+    a, b = member.withColumnRenamed("doc", "doc_a"), member.withColumnRenamed("doc", "doc_b")
+    return a.join(b, ["key", "digest"]).where("doc_a < doc_b").select("doc_a", "doc_b").distinct()
 
 
 def shared_parts(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_chars, shared_chars, shared_part: how much of each document stands in another, in stretches of REACH or more.
+    """doc_id, n_chars, shared_chars, shared_part: how much of each document stands in another, in stretches of SPAN or more.
 
     Linear in the corpus: only each document's own paths are merged, no pairs are made, so groups of copies cost nothing.
-    Documents without a shared stretch have shared_chars 0.
+    Documents without a shared stretch have shared_chars 0; a null text has no shared_part.
     """
-    p = paths(docs, ident, text)
-    others = p.groupBy("path").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low <> high").select("path")
-    p = p.join(others, "path", "left_semi")
-    w = Window.partitionBy("doc").orderBy("start", "end")
+    found = around(places(docs, ident, text))
+    found = stage(found.select("doc", "uid", "path", "digest", "start", "size", "left", "right", "reach_left", "reach_right"), "places")
+    lack = F.lit(SPAN) - F.col("size")
+    short = windows(found.where(F.col("size") < SPAN)).groupBy("doc", "uid", "start").agg(F.max("ahead").alias("most"), F.min("ahead").alias("least"))
+    grown = found.join(short, ["doc", "uid", "start"], "left").join(_elsewhere(found, "path", "digest"), ["path", "digest"])
+    # Beyond a window that holds the path, what one side alone shares counts only if it makes up for all that is lacking.
+    before = F.when(F.col("reach_left") >= lack, F.col("reach_left")).otherwise(F.col("most"))
+    behind = F.when(F.col("reach_right") >= lack, F.col("reach_right")).otherwise(lack - F.col("least"))
+    held = (F.col("size") >= SPAN) | F.col("most").isNotNull()
+    p = grown.where(held).select("doc", "uid", (F.col("start") - before).alias("start"), (F.col("start") + F.col("size") + behind).alias("end"))
+    w = Window.partitionBy("doc", "uid").orderBy("start", "end")
     ahead = F.coalesce(F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    part = p.withColumn("own", F.greatest(F.lit(0), F.col("end") - F.greatest("start", ahead))).groupBy("doc").agg(F.sum("own").alias("shared_chars"))
-    d = docs.select(F.col(ident).cast("long").alias("doc"), F.length(text).cast("long").alias("n_chars"))
-    out = d.join(part, "doc", "left").withColumn("shared_chars", F.coalesce("shared_chars", F.lit(0)))
+    part = p.withColumn("own", F.greatest(F.lit(0), F.col("end") - F.greatest("start", ahead))).groupBy("doc", "uid").agg(F.sum("own").alias("shared_chars"))
+    d = docs.select(F.col(ident).cast("long").alias("doc"), F.xxhash64(text).alias("uid"), F.length(text).cast("long").alias("n_chars"))
+    out = d.join(part, ["doc", "uid"], "left").withColumn("shared_chars", F.coalesce("shared_chars", F.lit(0)))
     return out.select(F.col("doc").alias("doc_id"), "n_chars", "shared_chars", F.when(F.col("n_chars") > 0, F.round(F.col("shared_chars") / F.col("n_chars"), 6)).alias("shared_part"))
 
 
@@ -265,5 +306,10 @@ QUERIES = {"p8_found": p8_found, "p8_parts": p8_parts}
 SQL = {
     "p8_found": """
 with g as (select distinct doc_id, hash(substr(text, i::bigint, 400)) h from (select doc_id, text, unnest(range(1, length(text) - 398)) i from documents where length(text) >= 400))
-select distinct a.doc_id doc_a, b.doc_id doc_b from g a join g b using (h) where a.doc_id < b.doc_id"""
+select distinct a.doc_id doc_a, b.doc_id doc_b from g a join g b using (h) where a.doc_id < b.doc_id""",
+    "p8_parts": """
+with g as (select doc_id, i, hash(substr(text, i::bigint, 400)) h from (select doc_id, text, unnest(range(1, length(text) - 398)) i from documents where length(text) >= 400)),
+s as (select distinct doc_id, i from g where h in (select h from g group by h having min(doc_id) < max(doc_id))),
+c as (select doc_id, sum(least(400, coalesce(lead_i - i, 400))) n from (select doc_id, i, lead(i) over (partition by doc_id order by i) lead_i from s) group by 1)
+select doc_id, length(text)::bigint n_chars, coalesce(c.n, 0)::bigint shared_chars, case when length(text) > 0 then round(coalesce(c.n, 0) / length(text)::double, 6) end shared_part from documents left join c using (doc_id)""",
 }

@@ -294,8 +294,55 @@ def test_shared_spans(spark, seed):
     df = spark.createDataFrame([(i, t, 1) for i, t in docs] + [(200, None, 1), (201, "", 1)], "doc_id long, text string, path int")
     assert {(r.doc_a, r.doc_b) for r in spans.sharing_pairs(df).collect()} == brute(docs)
     parts = {r.doc_id: r for r in spans.shared_parts(df).collect()}
+    assert {i: r.shared_chars for i, r in parts.items() if i < 200} == {i: covered(i, docs) for i, _ in docs}
     assert parts[100].shared_part > 0.9 and parts[201].shared_chars == 0 and all(r.shared_chars <= r.n_chars for r in parts.values() if r.n_chars)
-    assert spans.sharing_pairs(df.where("false")).count() == 0
+    assert spans.sharing_pairs(df.where("false")).count() == 0 and spans.shared_parts(df.where("false")).count() == 0
+
+
+def covered(i, docs):
+    """Characters of document i in stretches of SPAN or more that stand in another."""
+    mine, grams = dict(docs)[i], {y[k : k + spans.SPAN] for j, y in docs if j != i for k in range(len(y) - spans.SPAN + 1)}
+    hit = np.zeros(len(mine), bool)
+    for k in range(len(mine) - spans.SPAN + 1):
+        if mine[k : k + spans.SPAN] in grams:
+            hit[k : k + spans.SPAN] = True
+    return int(hit.sum())
+
+
+def test_shared_spans_meet_in_a_kept_kmer():
+    """Any stretch of SPAN characters that two texts share holds a k-mer that both keep, whatever stands around it."""
+    rng, tables = random.Random(5), {}
+    pieces = ["word", "x" * 23, "y" * 24, "z" * 25, "q" * 200, " ", ". ", "-", "ab ab ab ", "é", "\n\n"]
+    make = lambda n: "".join(rng.choice(pieces) + rng.choice(["", " "]) for _ in range(n))[:n]
+    for _ in range(200):
+        core = make(spans.SPAN)
+        texts = [make(rng.randint(0, 300)) + core + make(rng.randint(0, 300)) for _ in range(2)]
+        which, start, end, h = spans.kmers(texts, tables)
+        both = set(h[which == 0]) & set(h[which == 1])
+        assert both and all(e - s < spans.REACH + spans.LONG for s, e in zip(start, end))
+        alone = [spans.kmers([t], tables)[1:] for t in texts]
+        assert all((a == b).all() for k in (0, 1) for a, b in zip(alone[k], (start[which == k], end[which == k], h[which == k])))
+
+
+def test_kept_places_of_long_texts(monkeypatch):
+    rng = np.random.default_rng(3)
+    order = rng.integers(0, 50, 3000).astype(np.uint64) << np.uint64(40)
+    inside = np.arange(3000) + spans.WINDOW <= 3000
+    want = sorted({max(range(x, x + spans.WINDOW), key=lambda i: (-int(order[i]), i)) for x in range(3000 - spans.WINDOW + 1)})
+    assert spans.kept_places(order, inside).tolist() == want
+    monkeypatch.setattr(spans, "_PLACE", 10)
+    assert spans.kept_places(order, inside).tolist() == want
+
+
+def test_spans_of_hot_copies_and_stock_paragraphs(spark):
+    """A stock paragraph under SPAN in every text makes no pair; a group of copies is one group; equal rows are one."""
+    rng = random.Random(9)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    stock, copy = prose(spans.SPAN - 1), prose(900)
+    docs = [(i, prose(300) + chr(0x4E00 + i) + stock + chr(0x5E00 + i) + prose(300)) for i in range(40)] + [(i, copy) for i in range(40, 60)]
+    df = spark.createDataFrame(docs + docs[:5], "doc_id long, text string")
+    assert {(r.doc_a, r.doc_b) for r in spans.sharing_pairs(df).collect()} == {(a, b) for a in range(40, 60) for b in range(a + 1, 60)}
+    assert {(r.doc_id, r.shared_chars) for r in spans.shared_parts(df).collect()} == {(i, 0) for i in range(40)} | {(i, 900) for i in range(40, 60)}
 
 
 def test_titles(spark):
