@@ -222,11 +222,58 @@ def test_leaks(spark):
     assert leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string, cosine string"), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def test_paraphrases(spark):
+    """Items rewritten with dropped, changed and moved words are found in nine of ten cases; unrelated texts are not."""
+    rng = random.Random(12)
+    vocab = [f"word{i}" for i in range(400)]
+    items = [(i, " ".join([f"name{i}a", *rng.sample(vocab, 20), f"name{i}b", *rng.sample(vocab, 12), f"answer{i}"])) for i in range(30)]
+    docs, truth = [], set()
+    for d in range(240):
+        body = [rng.choice(vocab) for _ in range(150)]
+        if d % 2:
+            i = d % 30
+            w = [rng.choice(vocab) if k % 7 == 3 and not x.startswith(("name", "answer")) else x for k, x in enumerate(items[i][1].split())]
+            cut = rng.randint(8, len(w) - 8)
+            body[70:70] = w[:cut] + rng.sample(vocab, 2) + w[cut:]
+            truth.add((i, d))
+        docs.append((d, " ".join(body)))
+    out = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {(r.item_id, r.doc_id) for r in out if r.run >= leaks.RUN or (r.lcs_share >= leaks.PARAPHRASE_LCS and r.key_share >= leaks.PARAPHRASE_KEYS)}
+    assert len(found & truth) >= 0.9 * len(truth) and len(found - truth) <= 0.02 * len(found)
+
+
 def test_runs():
-    assert leaks.longest_run("a b c d".split(), "x b c y a b c".split())[0] == 3
+    assert leaks.longest_run("a b c d".split(), "x b c y a b c".split()) == 3
     assert leaks.common_subsequence("a b c d".split(), "a x c d".split()) == 3
-    covered = {i for n in (12, 16, 17, 40) for s, e in leaks.passages(n) for i in range(s, e)}
-    assert covered == set(range(40)) and all(any(s <= k and k + 12 <= e for s, e in leaks.passages(40)) for k in range(29))
+    for n in (0, 1, 12, 16, 17, 40):
+        b = leaks.Batch([["w"], [str(k) for k in range(n)], []], {str(k): k for k in range(n)})
+        own = b.at[b.text == 1]
+        assert len(own) == leaks.passages(n) and len(b.begin) == len(own) + 1
+        assert {i for s in own for i in range(s, s + leaks.SIZE)} >= set(range(n))
+        assert all(any(s <= k and k + leaks.RUN <= s + leaks.SIZE for s in own) for k in range(n - leaks.RUN + 1))
+
+
+def test_projection_is_the_dense_product():
+    rng = np.random.default_rng(1)
+    index = {f"w{k}": k for k in range(30)}
+    texts = [[f"w{rng.integers(0, 36)}" for _ in range(n)] for n in (3, 16, 50, 0, 21)]
+    b, idf, basis = leaks.Batch(texts, index), rng.random(30) + 0.1, rng.random((30, 5))
+    dense = np.zeros((len(b.begin), 30))
+    for row, (k, s) in enumerate(zip(b.text, b.at)):
+        for w in texts[k][s : s + leaks.SIZE]:
+            if w in index:
+                dense[row, index[w]] += idf[index[w]]
+    assert np.allclose(b.windows(np.append(idf[:, None] * basis, np.zeros((1, 5)), axis=0)), dense @ basis)
+    assert np.allclose(leaks._gram(b, idf, basis), dense.T @ (dense @ basis))
+
+
+def test_lists_find_near_vectors():
+    rng = np.random.default_rng(2)
+    v = leaks.unit(rng.standard_normal((900, 24)).astype(np.float32))
+    x = leaks.unit(v + 0.12 * rng.standard_normal(v.shape).astype(np.float32))
+    i, j, cos = leaks.Lists(v).search(x, 0.6)
+    met = set(zip(i.tolist(), j.tolist()))
+    assert sum((k, k) in met for k in range(900)) >= 0.9 * 900 and np.allclose(cos, (x[i] * v[j]).sum(1), atol=1e-5)
 
 
 # ---------------------------------------------------------------- mixture
