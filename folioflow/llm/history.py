@@ -1,9 +1,12 @@
 """New batches against all history: bit-difference fingerprints in rotated block tables.
 
 A title's fingerprint is a 256-bit similarity hash of its letter trigrams. Titles that differ by a slip or two differ in
-few bits, so one of the cyclic windows of 18 bits (one table for every 4th offset, 64 tables) is likely equal. A batch
-looks its windows up by equality, keeps candidates by Hamming distance, verifies the words, and its own fingerprints are
-appended. The history is never fingerprinted twice, and its texts are read again only for candidates.
+few bits, so one of the cyclic windows of 15 bits (one table for every 8th offset, 32 tables) is likely equal. New titles
+look their windows up by equality, keep candidates by Hamming distance, verify the words, and are appended. The index
+stores each different title once: fingerprint, windows (one place of an array for each table), words and first arrival. The
+history is never fingerprinted again; of it a look-up reads windows and one word of the fingerprint, and all other columns only for
+candidates. Batches may be looked up one by one or several at a time; the result is the same, as every title is judged
+by the titles and the vocabulary known up to its own batch.
 
 Rows with equal canonical titles are one entry of the index, so groups of copies, however large, never meet pairwise.
 """
@@ -20,13 +23,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import shared_dir, stage, table
+from ..operators.rejects import strip
+from ..runtime import shared_dir, ship, stage, table
 from . import titles
 
-BITS, WINDOW, STEP = 256, 18, 4
+BITS, WINDOW, STEP = 256, 15, 8
 TABLES = BITS // STEP
-#: Largest Hamming distance of candidates; unrelated titles lie near 105, slips below 45.
-MAX_HAMMING = 56
+#: Largest Hamming distance of candidates over all bits, and over the first 64, which are looked at first; unrelated titles
+#: lie near 105 (26 of 64), slips below 45 (11 of 64).
+MAX_HAMMING, MAX_FIRST = 56, 20
 _SLOTS = 1 << 14
 
 
@@ -65,38 +70,47 @@ def _windows(bits: np.ndarray) -> np.ndarray:
     return np.stack([wide[:, o : o + WINDOW] @ power for o in range(0, BITS, STEP)], axis=1).astype(np.int32)
 
 
-FINGERPRINT = T.StructType([T.StructField("kid", T.LongType()), T.StructField("first", T.LongType()), *[T.StructField(f"f{i}", T.LongType()) for i in range(4)], T.StructField("blocks", T.ArrayType(T.IntegerType()))])
+TITLE = T.StructType([
+    T.StructField("kid", T.LongType()), T.StructField("words", T.ArrayType(T.StringType())), T.StructField("cut", T.BooleanType()), T.StructField("first", T.LongType()), T.StructField("version", T.LongType()),
+    *[T.StructField(f"f{i}", T.LongType()) for i in range(4)], T.StructField("blocks", T.ArrayType(T.IntegerType())),
+])
+VOCABULARY = T.StructType([T.StructField("word", T.StringType()), T.StructField("version", T.LongType()), T.StructField("n", T.LongType())])
+IDS = T.StructType([T.StructField("id", T.StringType()), T.StructField("first", T.LongType())])
 
 
 def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     planes = _planes()
     for b in batches:
         if len(b):
-            bits = fingerprint_bits(b["key"].tolist(), planes)
+            bits = fingerprint_bits(["".join(w) for w in b["words"]], planes)
             w = _words64(bits)
-            yield pd.DataFrame({"kid": b["kid"].to_numpy(), "first": b["first"].to_numpy(), **{f"f{i}": w[:, i] for i in range(4)}, "blocks": list(_windows(bits))})
+            yield b.assign(**{f"f{i}": w[:, i] for i in range(4)}, blocks=list(_windows(bits)))[TITLE.names]
 
 
-def entries(df: DataFrame, title: Column, normalized: Column, order: Column) -> DataFrame:
-    """One row for each canonical title: kid, key, words, cut, first (its least order). Empty normalized titles have none."""
-    x = titles.plain(F.when(F.trim(F.coalesce(title, F.lit(""))) != "", title).otherwise(normalized))
-    rows = df.where(F.coalesce(normalized, F.lit("")) != "").select(titles.words(x).alias("words"), titles.is_cut(x).alias("cut"), order.alias("first"))
-    rows = rows.withColumn("key", F.array_join("words", "")).where("key <> ''")
-    return rows.groupBy("key").agg(F.min("first").alias("first"), F.min("words").alias("words"), F.bool_or("cut").alias("cut")).withColumn("kid", F.xxhash64("key"))
+def readings(df: DataFrame, order: Column, version: Column) -> DataFrame:
+    """arrival_no, version, id, kid, words, cut of each row; kid is null where the normalized title is empty or has no word."""
+    x = titles.plain(F.when(F.trim(F.coalesce("title", F.lit(""))) != "", F.col("title")).otherwise(F.col("normalized_title")))
+    x = F.when(F.coalesce("normalized_title", F.lit("")) != "", x)
+    r = df.select(order.cast("long").alias("arrival_no"), version.cast("long").alias("version"), id_key(F.col("paper_id")).alias("id"), titles.words(x).alias("words"), titles.is_cut(x).alias("cut"))
+    return r.withColumn("kid", F.when(F.size("words") > 0, F.xxhash64(F.array_join("words", ""))))
 
 
-def blocks(keys: DataFrame) -> DataFrame:
-    """The block tables' rows: tbl, blk, kid, first, f0..f3."""
-    fp = keys.select("kid", "first", "key").mapInPandas(_fingerprints, FINGERPRINT)
-    return fp.select("kid", "first", "f0", "f1", "f2", "f3", F.posexplode("blocks").alias("tbl", "blk"))
+def entries(read: DataFrame) -> DataFrame:
+    """kid, words, cut, first, version of each different title, as it stood at its first arrival (of equals the cut one)."""
+    at = F.struct(F.col("arrival_no").alias("first"), "version", (~F.col("cut")).alias("whole"), "words")
+    rows = read.where("kid is not null").groupBy("kid").agg(F.min(at).alias("r"))
+    return rows.select("kid", "r.words", (~F.col("r.whole")).alias("cut"), "r.first", "r.version")
 
 
 def candidates(asked: DataFrame, index: DataFrame) -> DataFrame:
-    """Pairs (kid, other) whose fingerprints share a window and lie within MAX_HAMMING; other's entry is the earlier."""
-    o = index.select("tbl", "blk", F.col("kid").alias("other"), F.col("first").alias("other_first"), *[F.col(f"f{i}").alias(f"g{i}") for i in range(4)])
+    """Pairs (kid, other) of entries that share a window and lie within MAX_HAMMING; other's entry is the earlier."""
+    spread = lambda df, kid, check: df.select(F.col("kid").alias(kid), F.col("f0").alias(check), F.posexplode("blocks").alias("tbl", "blk")).select(kid, check, F.shiftleft("tbl", WINDOW).bitwiseOR(F.col("blk")).alias("slot"))
+    met = spread(asked, "kid", "f").join(spread(index, "other", "g"), "slot").where((F.col("kid") != F.col("other")) & (F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= MAX_FIRST))
+    met = stage(met.select("kid", "other").distinct(), "met")
+    own = asked.select("kid", "first", *[f"f{i}" for i in range(4)])
+    other = index.select(F.col("kid").alias("other"), F.col("first").alias("other_first"), *[F.col(f"f{i}").alias(f"g{i}") for i in range(4)])
     apart = sum((F.bit_count(F.col(f"f{i}").bitwiseXOR(F.col(f"g{i}"))) for i in range(1, 4)), F.bit_count(F.col("f0").bitwiseXOR(F.col("g0"))))
-    met = asked.join(o, ["tbl", "blk"]).where((F.col("other_first") < F.col("first")) & (F.col("kid") != F.col("other")) & (apart <= MAX_HAMMING))
-    return met.select("kid", "other").distinct()
+    return met.join(own, "kid").join(other, "other").where((F.col("other_first") < F.col("first")) & (apart <= MAX_HAMMING)).select("kid", "other")
 
 
 # ---------------------------------------------------------------- verification of words
@@ -200,109 +214,104 @@ def _slips(a: pd.Series, b: pd.Series, a_cut: pd.Series, b_cut: pd.Series) -> pd
     return pd.Series([None if f is None else [{"w": w, "u": u} for w, u in f] for f in found])
 
 
-def vocabulary(keys: DataFrame) -> DataFrame:
-    """word, n: the number of canonical titles that hold the word."""
-    return keys.select(F.explode(F.array_distinct("words")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-
-
 #: A word is established if at least this share of the titles hold it; two established words are not slips of each other.
 ESTABLISHED_SHARE, ESTABLISHED_LEAST, BALANCE = 0.0008, 3, 0.02
 
 
-def verified(pairs: DataFrame, keys: DataFrame, words: DataFrame, n_titles: int) -> DataFrame:
-    """The pairs (kid, other) whose titles differ by slips only."""
-    k = keys.select("kid", "words", "cut")
-    o = keys.select(F.col("kid").alias("other"), F.col("words").alias("other_words"), F.col("cut").alias("other_cut"))
+def verified(pairs: DataFrame, asked: DataFrame, index: DataFrame, words: DataFrame) -> DataFrame:
+    """The pairs (kid, other) whose titles differ by slips only, by the vocabulary known up to the version of kid.
+
+    ``words``: word, version, n, the number of titles that brought the word in that version; the empty word counts titles.
+    """
+    k = asked.select("kid", "version", "words", "cut")
+    o = index.select(F.col("kid").alias("other"), F.col("words").alias("other_words"), F.col("cut").alias("other_cut"))
     texts = pairs.join(k, "kid").join(o, "other")
     near = F.abs(F.length(F.array_join("words", "")) - F.length(F.array_join("other_words", ""))) <= 6
     texts = texts.where(near | F.col("cut") | F.col("other_cut"))
-    judged = stage(texts.withColumn("subs", _slips("words", "other_words", "cut", "other_cut")).where("subs is not null").select("kid", "other", "subs"), "slips")
-    least = max(ESTABLISHED_LEAST, ESTABLISHED_SHARE * n_titles)
-    held = words.where(F.col("n") >= least)
-    subs = judged.select("kid", "other", F.explode("subs").alias("s")).select("kid", "other", "s.w", "s.u")
-    both = subs.join(held.select(F.col("word").alias("w"), F.col("n").alias("n_w")), "w").join(held.select(F.col("word").alias("u"), F.col("n").alias("n_u")), "u")
-    differs = both.where(F.least("n_w", "n_u") >= BALANCE * F.greatest("n_w", "n_u")).select("kid", "other").distinct()
+    judged = stage(texts.withColumn("subs", _slips("words", "other_words", "cut", "other_cut")).where("subs is not null").select("kid", "other", "version", "subs"), "slips")
+    subs = judged.select("kid", "other", "version", F.explode("subs").alias("s")).select("kid", "other", "version", "s.w", "s.u")
+    # How many titles held each word when the later title came: counts by version, added up over the versions up to it.
+    needed = subs.select("version", F.explode(F.array("w", "u", F.lit(""))).alias("word")).distinct()
+    counts = words.withColumnRenamed("version", "of").join(needed, "word").where("of <= version").groupBy("version", "word").agg(F.sum("n").alias("n"))
+    for c in ("w", "u"):
+        subs = subs.join(counts.select("version", F.col("word").alias(c), F.col("n").alias(f"n_{c}")), ["version", c])
+    subs = subs.join(counts.where("word = ''").select("version", F.col("n").alias("titles")), "version")
+    least, most = F.least("n_w", "n_u"), F.greatest("n_w", "n_u")
+    differs = subs.where((least >= F.greatest(F.lit(ESTABLISHED_LEAST), F.col("titles") * ESTABLISHED_SHARE)) & (least >= BALANCE * most)).select("kid", "other").distinct()
     return judged.join(differs, ["kid", "other"], "left_anti").select("kid", "other")
 
 
 def id_key(c: Column) -> Column:
     """Lower case, outer blanks and a trailing version mark aside; null where nothing follows the colon."""
-    from ..operators.rejects import strip
-
     x = F.regexp_replace(F.lower(strip(c)), r"(?<=.)v[0-9]{1,3}$", "")
     return F.when((x != "") & ~x.rlike(r":\s*$"), x)
 
 
-# ---------------------------------------------------------------- all batches in one pass
-
-
-def repeats(history: DataFrame, incoming: DataFrame) -> DataFrame:
-    """arrival_no of each incoming row whose work stands in history or arrived earlier (lower arrival_no).
-
-    The whole replay in one pass: the same lookups as batch by batch (``SeenIndex``), ordered by first arrival. Null ids,
-    null and empty titles match nothing; a null arrival_no is no row. Equal rows repeat each other by arrival_no.
-    """
-    inc = incoming.where("arrival_no is not null").select("arrival_no", "paper_id", "title", "normalized_title")
-    both = history.select(F.lit(-1).cast("long").alias("arrival_no"), "paper_id", "title", "normalized_title").unionByName(inc)
-    keys = stage(entries(both, F.col("title"), F.col("normalized_title"), F.col("arrival_no")), "titles")
-    index = stage(blocks(keys), "blocks")
-    pairs = candidates(index.where("first >= 0"), index)
-    links = verified(pairs, keys, vocabulary(keys), keys.count())
-    earlier = links.join(keys.select(F.col("kid").alias("other"), F.col("first").alias("of")), "other").groupBy("kid").agg(F.min("of").alias("of"))
-    firsts = keys.join(earlier, "kid", "left").select("key", F.least("first", F.coalesce("of", "first")).alias("title_first"))
-    ids = both.select(id_key(F.col("paper_id")).alias("id"), "arrival_no").where("id is not null").groupBy("id").agg(F.min("arrival_no").alias("id_first"))
-    x = titles.plain(F.when(F.trim(F.coalesce("title", F.lit(""))) != "", F.col("title")).otherwise(F.col("normalized_title")))
-    key = F.when(F.coalesce("normalized_title", F.lit("")) != "", F.array_join(titles.words(x), ""))
-    rows = inc.select("arrival_no", id_key(F.col("paper_id")).alias("id"), key.alias("key"))
-    rows = rows.join(ids, "id", "left").join(firsts, "key", "left")
-    return rows.where((F.col("id_first") < F.col("arrival_no")) | (F.col("title_first") < F.col("arrival_no"))).select("arrival_no")
-
-
-# ---------------------------------------------------------------- batch by batch
+# ---------------------------------------------------------------- the stored index
 
 
 class SeenIndex:
-    """The stored index: titles, block tables and ids as Parquet, appended batch by batch in the shared folder.
+    """Titles with fingerprints and block windows, vocabulary and ids as Parquet, appended call by call in the shared folder.
 
-    ``check`` returns the repeats of a batch against everything appended before and its own earlier rows, then appends
-    the batch. Block rows of the history are looked up by equality; only candidates' words are read.
+    ``check`` returns the repeats among new rows against everything appended before and earlier new rows, and appends
+    them. Each call writes folders of its own, which a repetition after a failure overwrites.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark = spark
+        self.spark, self.calls, self.version = ship(spark), 0, 0
         self.path = path or f"{shared_dir(spark)}/folioflow/seen-{uuid.uuid4().hex}"
-        self.n = 0
-
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
-
-    def append(self, rows: DataFrame, order: str | None = None) -> None:
-        """Adds rows (paper_id, title, normalized_title); ``order`` names their arrival column, null for history."""
-        at = F.col(order) if order else F.lit(-1).cast("long")
-        keys = stage(entries(rows, F.col("title"), F.col("normalized_title"), at), "titles")
-        keys.write.mode("append").parquet(f"{self.path}/titles")
-        blocks(keys).write.mode("append").parquet(f"{self.path}/blocks")
-        rows.select(id_key(F.col("paper_id")).alias("id"), at.alias("first")).where("id is not null").groupBy("id").agg(F.min("first").alias("first")).write.mode("append").parquet(f"{self.path}/ids")
-        self.n += 1
-
-    def check(self, batch: DataFrame) -> DataFrame:
-        """arrival_no of the batch's repeats; the batch is then part of the index."""
-        batch = batch.where("arrival_no is not null").select("arrival_no", "paper_id", "title", "normalized_title")
-        self.append(batch, "arrival_no")
-        spare = self._read("titles").groupBy("key", "kid").agg(F.min("first").alias("first"), F.min("words").alias("words"), F.bool_or("cut").alias("cut"))
-        own = entries(batch, F.col("title"), F.col("normalized_title"), F.col("arrival_no")).select("kid")
-        index = self._read("blocks")
-        asked = index.join(own, "kid", "left_semi").groupBy("kid", "tbl", "blk", "f0", "f1", "f2", "f3").agg(F.min("first").alias("first"))
-        links = verified(candidates(asked, index), spare, vocabulary(spare), spare.count())
-        earlier = links.join(spare.select(F.col("kid").alias("other"), F.col("first").alias("of")), "other").groupBy("kid").agg(F.min("of").alias("of"))
-        firsts = spare.join(own, "kid", "left_semi").join(earlier, "kid", "left").select("key", F.least("first", F.coalesce("of", "first")).alias("title_first"))
-        ids = self._read("ids").groupBy("id").agg(F.min("first").alias("id_first"))
-        x = titles.plain(F.when(F.trim(F.coalesce("title", F.lit(""))) != "", F.col("title")).otherwise(F.col("normalized_title")))
-        key = F.when(F.coalesce("normalized_title", F.lit("")) != "", F.array_join(titles.words(x), ""))
-        rows = batch.select("arrival_no", id_key(F.col("paper_id")).alias("id"), key.alias("key"))
-        rows = rows.join(ids, "id", "left").join(firsts, "key", "left")
-        found = rows.where((F.col("id_first") < F.col("arrival_no")) | (F.col("title_first") < F.col("arrival_no")))
-        return stage(found.select("arrival_no"), "repeats")
+
+    def _read(self, name: str, schema: T.StructType) -> DataFrame:
+        """What calls up to the present one appended."""
+        if not self.calls:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/{name}/call={k}" for k in range(self.calls)])
+
+    def _append(self, read: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Writes the titles and ids that are new; returns the titles written and the ids as they stood before."""
+        before, ids = self._read("titles", TITLE), self._read("ids", IDS)
+        fresh = entries(read).join(before.select("kid"), "kid", "left_anti") if self.calls else entries(read)
+        at = f"call={self.calls}"
+        columns = T.StructType(TITLE.fields[:5]).names
+        fresh.select(*columns).mapInPandas(_fingerprints, TITLE).write.mode("overwrite").parquet(f"{self.path}/titles/{at}")
+        written = self.spark.read.schema(TITLE).parquet(f"{self.path}/titles/{at}")
+        word = F.explode(F.array_append(F.array_distinct("words"), "")).alias("word")
+        written.select("version", word).groupBy("word", "version").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{self.path}/words/{at}")
+        read.where("id is not null").groupBy("id").agg(F.min("arrival_no").alias("first")).write.mode("overwrite").parquet(f"{self.path}/ids/{at}")
+        self.calls += 1
+        return written, ids
+
+    def append(self, rows: DataFrame) -> None:
+        """Adds history: paper_id, title, normalized_title, all of it earlier than any arrival."""
+        self._append(stage(readings(rows, F.lit(-1), F.lit(self.version)), "history"))
+        self.version += 1
+
+    def check(self, rows: DataFrame, batch: str | None = None) -> DataFrame:
+        """arrival_no of the repeats among ``rows`` (arrival_no, paper_id, title, normalized_title), which are then part of the index.
+
+        ``batch``: a column of whole numbers from 0 on, that of the row's batch, where the rows are several batches. Null ids, null and
+        empty titles match nothing; a null arrival_no is no row; a null batch is batch 0. Equal rows repeat each other by arrival_no.
+        """
+        version = F.lit(self.version) + (F.coalesce(F.col(batch), F.lit(0)) if batch else F.lit(0))
+        read = stage(readings(rows.where("arrival_no is not null"), F.col("arrival_no"), version), "arrivals")
+        asked, before = self._append(read)
+        self.version = (read.agg(F.max("version")).first()[0] or self.version) + 1
+        index = self._read("titles", TITLE)
+        links = verified(candidates(asked, index), asked, index, self._read("words", VOCABULARY))
+        earlier = links.join(index.select(F.col("kid").alias("other"), F.col("first").alias("of")), "other").groupBy("kid").agg(F.min("of").alias("of"))
+        own = read.where("kid is not null").select("kid").distinct()
+        firsts = index.select("kid", "first").join(own, "kid", "left_semi").join(earlier, "kid", "left").select("kid", F.least("first", "of").alias("title_first"))
+        known = before.join(read.where("id is not null").select("id").distinct(), "id", "left_semi").unionByName(read.where("id is not null").select("id", F.col("arrival_no").alias("first")))
+        ids = known.groupBy("id").agg(F.min("first").alias("id_first"))
+        found = read.select("arrival_no", "id", "kid").join(ids, "id", "left").join(firsts, "kid", "left")
+        return stage(found.where((F.col("id_first") < F.col("arrival_no")) | (F.col("title_first") < F.col("arrival_no"))).select("arrival_no"), "repeats")
+
+
+def repeats(history: DataFrame, incoming: DataFrame, batch: str | None = "batch_no") -> DataFrame:
+    """arrival_no of each incoming row whose work stands in history or arrived earlier: all batches looked up at a time."""
+    index = SeenIndex(history.sparkSession)
+    index.append(history)
+    return index.check(incoming, batch)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

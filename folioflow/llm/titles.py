@@ -34,15 +34,25 @@ AFTER = rf"(?:\s*(?:[\[(]\s*{_REMARK}\s*[\])]|\s[-–—]+\s*{_REMARK}|[*†‡
 CUT = r"(?:\.{3,}|…)\s*$"
 
 
+#: What the plainest titles lack: markup, entities, and an end that a remark or a footnote mark could have.
+_MARKED = r"[<&]|(?:[\])*]|paper|draft|version|preliminary|revised|forthcoming|preprint|appendix|appendices|press)\s*$"
+_SPACE = r"[\s\x{85}\p{Z}]+"
+
+
 def plain(title: Column) -> Column:
-    """Lower-case text without markup, accents, and remarks around the title; ``&`` reads ``and``."""
+    """Lower-case text without markup, accents, and remarks around the title; ``&`` reads ``and``.
+
+    Plain ASCII titles, most of them, skip the replacements that cannot change them.
+    """
     x = F.regexp_replace(title, r"</?[A-Za-z][^<>]*>", "")
     x = F.regexp_replace(x, r"(?i)&amp;", "&")
     x = F.regexp_replace(x, r"(?i)&(?:lt|gt|quot|apos|nbsp|#[0-9]{1,7}|#x[0-9a-f]{1,6});", " ")
     x = F.lower(fold(x))
-    x = F.trim(F.regexp_replace(F.regexp_replace(x, "&", " and "), r"[\s\x{85}\p{Z}]+", " "))
+    x = F.trim(F.regexp_replace(F.regexp_replace(x, "&", " and "), _SPACE, " "))
     x = F.regexp_replace(x, AFTER, "")
-    return F.regexp_replace(x, BEFORE, "")
+    low = F.lower(title)
+    simple = (F.octet_length(title) == F.length(title)) & ~low.rlike(_MARKED)
+    return F.regexp_replace(F.when(simple, F.trim(F.regexp_replace(low, _SPACE, " "))).otherwise(x), BEFORE, "")
 
 
 def words(plain_title: Column) -> Column:
