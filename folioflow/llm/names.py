@@ -1,11 +1,12 @@
 """Variant spellings of names of people and organisations.
 
 Every distinct string is read once into a core token (surname, or the name proper of an organisation), a given name or
-its initial, and a middle initial. Core tokens with slips are found through a symmetric-delete neighbourhood index: two
-tokens within two edits share a string that both reach by deletions, so an equality join finds them. The tokens of each
-candidate pair are then aligned by optimal assignment, permitting initials, short forms and slips, and the rarer
-spelling takes the core of the better supported one. Names with equal core and agreeing given names are one person;
-spellings that leave the given name open (an initial, a short form of several names) join the only person they fit.
+its initial, a middle initial, and the list of its tokens. Core tokens with slips, and given names with slips within one
+core, are found through a symmetric-delete neighbourhood index: two tokens within two edits share a string that both
+reach by deletions, so an equality join finds them. All tokens of each candidate pair are then aligned by optimal
+assignment, permitting initials, short forms and slips, and the rarer spelling takes the core of the better supported one,
+as far as such steps lead. Names with equal core and agreeing given names are one person; spellings that leave the given
+name open (an initial, a short form of several names) join the only person they fit.
 """
 
 from __future__ import annotations
@@ -14,14 +15,14 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations, permutations
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..runtime import stage, table
+from ..runtime import ship, stage, table
 from .history import osa
 
 #: English given names and their short forms.
@@ -169,9 +170,10 @@ def given_of(token: str) -> list[str]:
 
 
 def read_name(raw: str | None) -> tuple | None:
-    """(kind, core, options, initial, middle, sure): options are the full given names it may stand for, '' initial if none.
+    """(kind, core, options, initial, middle, sure, tokens): options are the full given names it may stand for, '' initial if none.
 
-    For organisations the initials of kind and field, sorted, take the given name's place. None if it names nobody.
+    For organisations the initials of kind and field, sorted, take the given name's place. Tokens are the core and the
+    words beside it, kinds of organisations in full. None if it names nobody.
     """
     text = re.sub(r"[’'`]", "", plain(raw or "")).strip()
     flat = re.sub(r"[\W_]+", " ", text).strip().lower()
@@ -191,7 +193,7 @@ def read_name(raw: str | None) -> tuple | None:
         rest = [w for w in words if w not in LINKS]
         if acronym:
             core = next((w for t, w in zip(tokens, words) if t != acronym), words[0])
-            return ("org", core, ["".join(sorted(acronym.lower()))], "", "", True)
+            return ("org", core, ["".join(sorted(acronym.lower()))], "", "", True, [core])
         proper = [w for w in (low[-1] if len(low) > 1 and not any(t.lower() in KINDS for t in low[-1]) else low[0]) for w in [w.lower()] if w not in LINKS and w not in KINDS]
         if not proper:
             proper = [w for w in rest if w not in KINDS] or rest
@@ -199,7 +201,7 @@ def read_name(raw: str | None) -> tuple | None:
         others = list(rest)
         others.remove(core)
         letters = sorted((KINDS[w][0] if w in KINDS else w[0]) for w in others)
-        return ("org", core, ["".join(letters)], "", "", True)
+        return ("org", core, ["".join(letters)], "", "", True, [core, *(KINDS.get(w, w) for w in others)])
     long = [w for w in words if len(w) > 1]
     # Initials written together, as in "GF Surname".
     runs = [t.lower() for t in tokens if re.fullmatch(r"[A-Z]{2,3}", t) and not text.isupper() and len(long) > 1]
@@ -212,7 +214,7 @@ def read_name(raw: str | None) -> tuple | None:
     else:
         full = [w for w in long if w not in runs]
         if not full:
-            return ("person", flat, [], "", "", True)
+            return ("person", flat, [], "", "", True, [flat])
         initials = [w for w in words if len(w) == 1] + [c for r in runs for c in r]
         if len(full) == 1:
             last, given, sure = full[0], initials, True
@@ -229,20 +231,22 @@ def read_name(raw: str | None) -> tuple | None:
             else:
                 last, given = "".join(full[:first]), [lead, *full[first + 1 :], *initials]
     if not given:
-        return ("person", last, [], "", "", True)
+        return ("person", last, [], "", "", True, [last])
+    tokens = [last, *given]
     lead, middle = given[0], given[1][0] if len(given) > 1 else ""
     if len(lead) == 1:
-        return ("person", last, [], lead, middle, True)
+        return ("person", last, [], lead, middle, True, tokens)
     options = given_of(lead) or [lead]
-    return ("person", last, sorted(options), lead[0], middle, sure)
+    tokens[1] = options[0] if len(options) == 1 else lead
+    return ("person", last, sorted(options), lead[0], middle, sure, tokens)
 
 
-READ = T.StructType([T.StructField("name", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("core", T.StringType()), T.StructField("options", T.ArrayType(T.StringType())), T.StructField("initial", T.StringType()), T.StructField("middle", T.StringType())])
+READ = T.StructType([T.StructField("name", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("core", T.StringType()), T.StructField("options", T.ArrayType(T.StringType())), T.StructField("initial", T.StringType()), T.StructField("middle", T.StringType()), T.StructField("tokens", T.ArrayType(T.StringType()))])
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        rows = [(n, *r[:5]) for n in b["name"] if (r := read_name(n)) is not None and r[1]]
+        rows = [(n, *r[:5], r[6]) for n in b["name"] if (r := read_name(n)) is not None and r[1]]
         yield pd.DataFrame(rows, columns=[f.name for f in READ.fields])
 
 
@@ -266,26 +270,57 @@ def token_cost(a: str, b: str) -> float | None:
     return 0.2 * d if d <= most else None
 
 
+def least_assignment(cost: list[list[float]]) -> float:
+    """Least sum of one entry in each row, no two in one column (rows <= columns): shortest augmenting paths."""
+    n, m = len(cost), len(cost[0]) if cost else 0
+    row, column, owner = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        owner[0], at = i, 0
+        short, back, seen = [float("inf")] * (m + 1), [0] * (m + 1), [False] * (m + 1)
+        while owner[at]:
+            seen[at], r, step, to = True, owner[at], float("inf"), 0
+            for j in range(1, m + 1):
+                if not seen[j]:
+                    reduced = cost[r - 1][j - 1] - row[r] - column[j]
+                    if reduced < short[j]:
+                        short[j], back[j] = reduced, at
+                    if short[j] < step:
+                        step, to = short[j], j
+            for j in range(m + 1):
+                if seen[j]:
+                    row[owner[j]] += step
+                    column[j] -= step
+                else:
+                    short[j] -= step
+            at = to
+        while at:
+            owner[at] = owner[back[at]]
+            at = back[at]
+    return -column[0]
+
+
+#: Cost of two tokens that cannot mean the same; more than any possible sum of others.
+_NEVER = 1e6
+
+
 def aligned(a: list[str], b: list[str]) -> float | None:
     """Least cost of assigning each token of the shorter name to its own token of the longer; None if none is possible.
 
-    Tokens left over are free only if they are initials or middle names. Names of over six tokens are cut into the
-    assignment of their first six (no name here reads into more than three).
+    Tokens of the longer name that are left over are free: a middle name, a word that a spelling drops. Equal tokens are
+    taken together first, so only the rest, a few tokens, is searched.
     """
     if len(a) > len(b):
         a, b = b, a
-    best = None
-    for order in permutations(range(len(b)), len(a)):
-        total = 0.0
-        for x, k in zip(a, order):
-            c = token_cost(x, b[k])
-            if c is None:
-                break
-            total += c
+    rest, other = [], list(b)
+    for x in a:
+        if x in other:
+            other.remove(x)
         else:
-            if best is None or total < best:
-                best = total
-    return best
+            rest.append(x)
+    if not rest:
+        return 0.0
+    total = least_assignment([[_NEVER if (c := token_cost(x, y)) is None else c for y in other] for x in rest])
+    return None if total >= _NEVER else round(total, 6)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -294,45 +329,77 @@ def _aligned(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def readings(names: DataFrame) -> DataFrame:
-    """name, kind, core, options, initial, middle of each distinct name that names somebody."""
+    """name, kind, core, options, initial, middle, tokens of each distinct name that names somebody."""
+    ship(names.sparkSession)
     distinct = names.where(F.col("name").isNotNull()).groupBy("name").agg(F.count("*").alias("uses")).select("name")
     return distinct.mapInPandas(_read, READ)
 
 
+def _variants(words: DataFrame, column: str) -> DataFrame:
+    """``words`` with the deletions of a column, staged, as both sides of the look-up read it; spread before the UDF."""
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stage(words.repartition(parts).withColumn("variant", F.explode(_deletions(column))), "variants")
+
+
+def _followed(steps: DataFrame, source: str, target: str, keys: list[str]) -> DataFrame:
+    """Each step (source -> target among equal keys) followed to its end, by doubling. Steps lead to better support, so there is no circle."""
+    steps = stage(steps, "steps")
+    while True:
+        more = steps.select(F.col(source).alias(target), F.col(target).alias("_next"), *keys)
+        joined = stage(steps.join(more, [target, *keys], "left"), "steps")
+        steps = joined.select(source, F.coalesce("_next", target).alias(target), *keys)
+        if joined.where("_next is not null").isEmpty():
+            return steps
+
+
 def mended(read: DataFrame) -> DataFrame:
     """The readings with slips in the core mended: ``core`` is replaced by a near, better supported core that fits."""
     support = read.groupBy("core").agg(F.count_distinct("name").alias("support"))
     node = ["kind", "core", "options", "initial", "middle"]
-    nodes = stage(read.groupBy(*node).agg(F.count("*").alias("n")).join(support, "core").withColumn("nid", F.xxhash64(*node)), "names")
+    grouped = read.groupBy(*node).agg(F.max(F.struct(F.size("tokens").alias("n"), "tokens")).alias("t")).select(*node, "t.tokens")
+    nodes = grouped.join(support, "core").withColumn("nid", F.xxhash64(*node))
     # Near cores among names of one kind whose given name begins alike (organisations: whose initials agree).
     letters = F.when(F.size("options") > 0, F.array_distinct(F.transform("options", lambda x: F.substring(x, 1, 1)))).otherwise(F.array("initial"))
-    nodes = nodes.withColumn("gates", F.when(F.col("kind") == "org", F.col("options")).otherwise(letters))
+    nodes = stage(nodes.withColumn("gates", F.when(F.col("kind") == "org", F.col("options")).otherwise(letters)), "names")
     gated = nodes.withColumn("gate", F.explode("gates"))
-    cores = gated.select("core", "kind", "gate", "support").distinct().withColumn("variant", F.explode(_deletions("core")))
+    cores = _variants(gated.select("core", "kind", "gate", "support").distinct(), "core")
     other = cores.select("variant", "kind", "gate", F.col("core").alias("to"), F.col("support").alias("to_support"))
     better = (F.col("to_support") > F.col("support")) | ((F.col("to_support") == F.col("support")) & (F.col("to") > F.col("core")))
     near = cores.join(other, ["variant", "kind", "gate"]).where((F.col("core") != F.col("to")) & better & ((F.col("support") <= 2) | (3 * F.col("support") <= F.col("to_support"))))
     near = near.select("core", "to", "kind", "gate", "to_support").distinct()
-    mine = gated.select("nid", "core", "kind", "gate", "options", "middle", "initial")
-    theirs = gated.select(F.col("core").alias("to"), "kind", "gate", F.col("options").alias("to_options"), F.col("middle").alias("to_middle"), F.col("initial").alias("to_initial"))
+    mine = gated.select("nid", "core", "kind", "gate", "options", "middle", F.col("tokens").alias("a"))
+    theirs = gated.select(F.col("core").alias("to"), "kind", "gate", F.col("options").alias("to_options"), F.col("middle").alias("to_middle"), F.col("tokens").alias("b"))
     fit = near.join(mine, ["core", "kind", "gate"]).join(theirs, ["to", "kind", "gate"])
     both = (F.size("options") > 0) & (F.size("to_options") > 0)
-    shared = F.array_intersect("options", "to_options")
-    fit = fit.where((~both | (F.size(shared) > 0)) & ((F.col("middle") == "") | (F.col("to_middle") == "") | (F.col("middle") == F.col("to_middle"))))
-
-    def token(options: str, initial: str):
-        """The given name as one token: a full name both may stand for, else the first full name, else the initial."""
-        own = F.when(both, F.slice(shared, 1, 1)).when(F.size(options) > 0, F.array("gate")).when(F.col(initial) != "", F.array(initial)).otherwise(F.array().cast("array<string>"))
-        return F.when(F.col("kind") == "org", F.array().cast("array<string>")).otherwise(own)
-
-    fit = fit.select("nid", "to", "to_support", F.concat(F.array("core"), token("options", "initial")).alias("a"), F.concat(F.array("to"), token("to_options", "to_initial")).alias("b"))
+    fit = fit.where((~both | F.arrays_overlap("options", "to_options")) & ((F.col("middle") == "") | (F.col("to_middle") == "") | (F.col("middle") == F.col("to_middle"))))
     fit = fit.select("nid", "to", "to_support", _aligned("a", "b").alias("cost")).where("cost is not null")
     step = fit.groupBy("nid").agg(F.max(F.struct("to_support", (-F.col("cost")).alias("near"), "to")).alias("best")).select("nid", F.col("best.to").alias("to"))
-    first = nodes.join(step, "nid", "left").withColumn("new", F.coalesce("to", "core"))
-    # The core found may itself be a slip of a still better supported one: one more step along the same map.
-    again = first.where("to is not null").groupBy(F.col("core").alias("new"), "kind", "gates").agg(F.min("to").alias("next"))
-    moved = first.join(again, ["new", "kind", "gates"], "left").withColumn("new", F.when(F.col("to").isNotNull(), F.coalesce("next", "new")).otherwise(F.col("new")))
-    return read.withColumn("nid", F.xxhash64(*node)).join(moved.select("nid", "new"), "nid").select("name", "kind", F.col("new").alias("core"), "options", "initial", "middle")
+    first = stage(nodes.join(step, "nid").select("nid", "core", "kind", "gates", "to"), "names")
+    # The core found may itself be a slip of a still better supported one: on to the end of such steps.
+    further = _followed(first.groupBy("core", "kind", "gates").agg(F.max("to").alias("to")), "core", "to", ["kind", "gates"])
+    ends = first.join(further.select(F.col("core").alias("to"), F.col("to").alias("end"), "kind", "gates"), ["to", "kind", "gates"], "left")
+    moved = ends.select("nid", F.coalesce("end", "to").alias("new"))
+    out = read.withColumn("nid", F.xxhash64(*node)).join(moved, "nid", "left")
+    return given_mended(out.select("name", "kind", F.coalesce("new", "core").alias("core"), "options", "initial", "middle"))
+
+
+def given_mended(read: DataFrame) -> DataFrame:
+    """Slips in given names that stand in no list: within one core, a rare one takes the place of a near, better supported one.
+
+    Listed names are names of their own, however near (Maria, Marie), and are mended when they are read.
+    """
+    read = stage(read, "names")
+    listed = sorted(GIVEN)
+    one = F.col("options")[0]
+    free = read.where((F.col("kind") == "person") & (F.size("options") == 1) & ~one.isin(listed) & (F.length(one) >= 5))
+    given = _variants(free.groupBy("core", one.alias("given")).agg(F.count("*").alias("support")), "given")
+    other = given.select("variant", "core", F.col("given").alias("to"), F.col("support").alias("to_support"))
+    near = given.join(other, ["variant", "core"]).where((F.col("given") != F.col("to")) & (F.col("support") <= 2) & (3 * F.col("support") <= F.col("to_support")) & (F.substring("given", 1, 1) == F.substring("to", 1, 1)))
+    near = near.select("core", "given", "to", "to_support").distinct().where(_aligned(F.array("given"), F.array("to")).isNotNull())
+    best = near.groupBy("core", "given").agg(F.max(F.struct("to_support", "to")).alias("b")).select("core", "given", F.col("b.to").alias("to"))
+    best = _followed(best, "given", "to", ["core"])
+    mended = read.withColumn("given", F.when((F.col("kind") == "person") & (F.size("options") == 1), one)).join(best, ["core", "given"], "left")
+    return mended.select("name", "kind", "core", F.when(F.col("to").isNotNull(), F.array("to")).otherwise(F.col("options")).alias("options"), "initial", "middle")
 
 
 def persons(read: DataFrame) -> DataFrame:
