@@ -12,6 +12,27 @@ T0 = datetime.datetime(2025, 1, 6)
 
 # ---------------------------------------------------------------- best representative
 
+def test_groups_branch_in_the_queries_own_data(spark):
+    """Some groups' most trusted address stands under another title too, so their search goes on; the others end at the root."""
+    d = "/root/testdata/sf0.001"
+    values = golden.paper_values(spark.read.parquet(f"{d}/papers.parquet"), spark.read.parquet(f"{d}/source_trust.parquet"))
+    n = {}
+    for name, bundles, deps in (("fields", golden.field_bundles(), [golden.address()]), ("origin", *golden.origin_bundles())):
+        root = golden.rooted(values, ["normalized_title"], "row_no", bundles, deps)
+        n[name] = (root.count(), root.where(F.size("_broken") > 0).count())
+    assert 0 < n["fields"][1] < n["fields"][0] and 0 < n["origin"][1] < n["origin"][0]
+
+
+def test_table_wide_dependency(spark):
+    """Rows: group, order, cost, left, right. A left value with two right ones, in whatever rows, is no candidate."""
+    rows = [("g", 1, 1, "u", "x"), ("g", 2, 2, "v", "x"), ("g", 3, 3, "v", "x"), ("h", 4, 1, "u", "y"), ("h", 5, 1, None, "y"), (None, 6, 0, "w", "q"), ("k", 7, 5, "w", "k"), ("k", 8, 5, "w", "k"), ("m", 9, 1, "z", None), ("m", 10, 1, "z", "m")]
+    df = spark.createDataFrame(rows, "g string, o long, c int, l string, r string")
+    bundles = [golden.Bundle("a", F.lit(True), [F.col("c")]), golden.Bundle("b", F.col("c") > 1, [F.col("c")])]
+    out = {x.g: (x.a, x.b) for x in golden.survivors(df, ["g"], "o", bundles, [golden.Dependency("a", F.col("l"), F.col("r"))]).collect()}
+    assert out == {"g": (2, 2), "h": (5, None), "k": (None, 7), "m": (9, None)}
+    assert golden.survivors(df.where("false"), ["g"], "o", bundles, [golden.Dependency("a", F.col("l"), F.col("r"))]).count() == 0
+
+
 PAPERS = "row_no long, normalized_title string, abstract string, date string, source string, canonical_url string, fetched_at timestamp, _rank string, title string"
 
 
@@ -42,7 +63,7 @@ def test_branch_and_bound_is_optimal(spark):
     rows = [(g, i + 10 * g, rng.randint(0, 5), rng.randint(0, 5), rng.choice("xy"), rng.choice("pq")) for g in range(12) for i in range(5)]
     df = spark.createDataFrame(rows, "g long, o long, ca int, cb int, l string, r string")
     bundles = [golden.Bundle("a", F.lit(True), [F.col("ca")]), golden.Bundle("b", F.lit(True), [F.col("cb")])]
-    dep = golden.Dependency("a", F.col("l"), "b", F.col("r"))
+    dep = golden.Dependency("a", F.col("l"), F.col("r"), on="b")
     out = {r.g: (r.a, r.b) for r in golden.survivors(df, ["g"], "o", bundles, [dep]).collect()}
     for g in range(12):
         own = {r[1]: r for r in rows if r[0] == g}
@@ -110,10 +131,65 @@ def test_fingerprints_find_slips():
     assert ((x[:-1] != x[1:]).sum(1) > history.MAX_HAMMING).all()
 
 
+@pytest.mark.parametrize("length, slips, least", [(40, 1, 0.9), (60, 1, 0.95), (60, 2, 0.85), (90, 1, 0.98), (90, 2, 0.95), (90, 3, 0.85)])
+def test_recall_against_all_pairs(length, slips, least):
+    """Of titles with random slips, the share that meets its original in a block table within the Hamming distances."""
+    rng = random.Random(length + slips)
+    words = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(3, 11))) for _ in range(400)]
+    base = ["".join(rng.choice(words) for _ in range(20))[:length] for _ in range(500)]
+
+    def slip(s):
+        s = list(s)
+        for _ in range(slips):
+            i, kind = rng.randrange(len(s) - 1), rng.random()
+            s[i : i + 2] = [s[i + 1], s[i]] if kind < 0.4 else [s[i]] if kind < 0.6 else [s[i], "x", s[i + 1]] if kind < 0.8 else ["q", s[i + 1]]
+        return "".join(s)
+
+    planes = history._planes()
+    x, y = history.fingerprint_bits(base, planes), history.fingerprint_bits([slip(b) for b in base], planes)
+    met = (history._windows(x) == history._windows(y)).any(axis=1) & ((x != y).sum(1) <= history.MAX_HAMMING) & ((x != y)[:, :64].sum(1) <= history.MAX_FIRST)
+    assert met.mean() >= least
+
+
+def test_batches_one_by_one_equal_all_at_once(spark):
+    """Vocabulary grows from batch to batch; every title is judged by what was known when it came."""
+    rng = random.Random(21)
+    stem = [f"{a}{b}ing" for a in ("cred", "mark", "bond", "risk", "lend") for b in ("o", "an", "ur", "el")]
+    near = [w[:-2] + "gn" for w in stem]
+    made, rows = [], []
+    for k in range(240):
+        if made and rng.random() < 0.5:
+            w = list(rng.choice(made))
+            i = rng.randrange(len(w))
+            w[i] = rng.choice([near[stem.index(w[i])] if w[i] in stem else w[i], rng.choice(stem)])
+        else:
+            w = [rng.choice(stem) for _ in range(9)]
+        made.append(w)
+        text = " ".join(w)
+        rows.append((k, k // 60, None if k % 3 else f"s:{rng.randint(1, 60)}", text, text))
+    df = spark.createDataFrame(rows, "arrival_no long, batch_no int, paper_id string, title string, normalized_title string")
+    hist, new = df.where("batch_no = 0").drop("batch_no"), df.where("batch_no > 0")
+    whole = sorted(r.arrival_no for r in history.repeats(hist, new).collect())
+    index = history.SeenIndex(spark)
+    index.append(hist)
+    parts = sorted(r.arrival_no for b in (1, 2, 3) for r in index.check(new.where(F.col("batch_no") == b)).collect())
+    assert parts == whole and 20 < len(whole) < 180
+
+
+def test_plain_titles_equal_the_long_way(spark):
+    """The shortcut for plain titles changes nothing."""
+    rng = random.Random(13)
+    parts = ["The ", "Draft: ", "A & B ", "x &lt; y ", "<i>Bank</i> ", "Lending", " and  Risk", "\tYield", " (Working Paper)", " - revised", "*", " [draft]", "...", " press", ")", " Éclat", "\u00a0", " in press ", "  "]
+    rows = [("".join(rng.choice(parts) for _ in range(rng.randint(0, 5))),) for _ in range(400)] + [(None,), ("",), ("Credit - Working Paper*",), ("Part (2)",)]
+    df = spark.createDataFrame(rows, "t string")
+    marked = df.select("t", titles.plain(F.col("t")).alias("a"), titles.plain(F.concat("t", F.lit("<b>"))).alias("b"))
+    assert marked.where("not (a <=> b)").collect() == []
+
+
 def test_edit_distance():
     assert [history.osa(a, b, 2) for a, b in (("ab", "ba"), ("abc", "abc"), ("abc", "xyz"), ("", "ab"), ("model", "modle"))] == [1, 0, 3, 2, 1]
     assert history.slips("part 1".split(), "part 2".split(), False, False) is None
-    assert history.slips("bank yields".split(), "bnak yields".split(), False, False) == [("bank", "bnak")] or True
+    assert history.slips("bank yields".split(), "bnak yields".split(), False, False) == [("bank", "bnak")]
 
 
 # ---------------------------------------------------------------- linkage
@@ -147,17 +223,24 @@ def test_linkage(spark):
     assert linkage.link(spark.createDataFrame([], schema), spark.createDataFrame(right, schema)).count() == 0
 
 
-def test_blocking_survives_added_words():
+def keys_of(spark, records, df, n=10000):
+    """The key sets of (words, head, cores)."""
+    rows = [(k, cores, *linkage.blocking_words(ws, head, df, n)) for k, (ws, head, cores) in enumerate(records)]
+    schema = "k int, cores array<string>, top array<string>, unknown array<string>, telling array<string>, content string, head string"
+    return [set(r.keys) for r in spark.createDataFrame(rows, schema).select("k", linkage.blocking_keys().alias("keys")).orderBy("k").collect()]
+
+
+def test_blocking_survives_added_words(spark):
     """A title's words all stand in another that adds rarer ones, by a shared author or by the title alone."""
     draft = "reading bank tone with language models cross tests of local yields in brokuhusti".split()
     published = [*draft[:3], "using", "large", *draft[4:]]
     df = {w: 900 for w in {*draft, *published}} | {"bank": 240, "using": 20, "large": 30, "brokuhusti": 100, "tone": 110, "local": 300, "yields": 310}
     for cores in (["librisove/w"], []):
-        a, b = (set(linkage.blocking_keys(ws, "".join(ws[:k]), False, cores, df, 10000)) for ws, k in ((draft, 6), (published, 7)))
+        a, b = keys_of(spark, [(ws, "".join(ws[:k]), cores) for ws, k in ((draft, 6), (published, 7))], df)
         assert a & b
     longer = [*published, "four", "more", "rarer", "names"]
     df |= {w: 10 for w in longer[-4:]}
-    keys = [set(linkage.blocking_keys(ws, "".join(ws[:k]), False, ["librisove/w"], df, 10000)) for ws, k in ((draft, 6), (longer, 7))]
+    keys = keys_of(spark, [(ws, "".join(ws[:k]), ["librisove/w"]) for ws, k in ((draft, 6), (longer, 7))], df)
     assert keys[0] & keys[1]
 
 
@@ -195,6 +278,29 @@ def test_alignment():
     assert set(a) & set(b)
 
 
+def test_assignment_is_least():
+    from itertools import permutations
+
+    rng = random.Random(4)
+    for _ in range(200):
+        n = rng.randint(1, 4)
+        m = rng.randint(n, 5)
+        cost = [[rng.choice([0, 1, 2, 5, 1e6]) * 1.0 for _ in range(m)] for _ in range(n)]
+        assert abs(names.least_assignment(cost) - min(sum(cost[i][p[i]] for i in range(n)) for p in permutations(range(m), n))) < 1e-6
+    assert names.aligned(["smith", "j", "adam"], ["smiht", "john", "a", "b"]) == round(0.2 + 0.3 + 0.3, 6)
+    assert names.aligned(["smith", "j", "a"], ["smith", "john", "b"]) is None and names.aligned([], ["x"]) == 0.0
+    assert names.aligned([f"t{k}" for k in range(40)], [f"t{k}" for k in range(40, 0, -1)]) is None
+
+
+def test_chains_of_slips_and_unlisted_given_names(spark):
+    """A slip of a slip goes to the best supported core; a rare unlisted given name to its near, better supported one."""
+    given = ["Anna", "Bruno", "Carla", "Dieter", "Erik", "Frida", "Gustav", "Hilde", "Ivo", "Jana", "Klaus", "Lotte", "Moritz"]
+    rows = [f"{g} Kordovaneska" for g in given] + [f"{g} Kordovanesak" for g in given[:4]] + ["Anna Kordovanseak"] + ["Xiaoming Petrovalo", "Petrovalo, Xiaoming", "Dr. Xiaoming Petrovalo", "XIAOMING PETROVALO", "Xiaomnig Petrovalo", "Xinyu Petrovalo"]
+    out = {r.name: r.person for r in names.spellings(spark.createDataFrame([([r],) for r in rows], "authors array<string>")).collect()}
+    assert out["Anna Kordovanseak"] == out["Anna Kordovanesak"] == out["Anna Kordovaneska"] != out["Bruno Kordovaneska"]
+    assert out["Xiaomnig Petrovalo"] == out["Xiaoming Petrovalo"] == out["Petrovalo, Xiaoming"] != out["Xinyu Petrovalo"]
+
+
 # ---------------------------------------------------------------- leaks
 
 
@@ -306,6 +412,20 @@ def test_mixture(spark):
     assert [r.tokens for r in tokenized][1:] == [0, 0] and tokenized[0].tokens > 3
 
 
+def test_shares_add_up(spark):
+    """Reached tokens are those of the mixture; no cap is passed; free sources keep the proportions of their targets within a record."""
+    d = "/root/testdata/sf0.001"
+    shares = {r.source: r for r in mixture.p7_shares(spark, d).collect()}
+    got = mixture.p7_mixture(spark, d).groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("t")).collect()
+    assert {r.source: r.t for r in got} == {s: r.reached_tokens for s, r in shares.items() if r.reached_tokens}
+    assert all(r.most_repeats <= r.max_repeats for r in shares.values()) and abs(sum(r.reached_share for r in shares.values()) - 1) < 1e-5
+    assert all(r.reached_tokens == r.size * r.max_repeats for r in shares.values() if r.capped and r.size)
+    free = [r for r in shares.values() if not r.capped and r.size]
+    per = [r.reached_tokens / r.target_share for r in free]
+    longest = 4000
+    assert all(abs(r.reached_tokens - r.target_share * max(per)) <= longest for r in free)
+
+
 # ---------------------------------------------------------------- spans
 
 
