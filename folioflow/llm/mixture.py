@@ -18,12 +18,13 @@ from collections.abc import Iterator
 from functools import cache
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import small, stage, table
+from ..runtime import ship, small, stage, table
 
-#: Where the vocabulary files of public tokenizers lie on every machine.
+#: Vocabulary file of a public tokenizer, on the driver; tasks get it from there.
 TOKENIZER = os.environ.get("FOLIOFLOW_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: Fixed value: how byte-level BPE splits text before merging.
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -46,11 +47,14 @@ def count_tokens(texts: list[str | None], path: str = TOKENIZER) -> list[int]:
 
 
 def with_tokens(df: DataFrame, text: str = "text", path: str = TOKENIZER) -> DataFrame:
-    """Adds ``tokens``."""
+    """Adds ``tokens``. The vocabulary file is served to the executors by the driver."""
+    ship(df.sparkSession).sparkContext.addFile(path)
+    name = os.path.basename(path)
 
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = SparkFiles.get(name)
         for b in batches:
-            yield pd.Series(count_tokens(b.tolist(), path), dtype="int64")
+            yield pd.Series(count_tokens(b.tolist(), own), dtype="int64")
 
     count.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return df.withColumn("tokens", F.pandas_udf(count, "bigint")(F.col(text)))
