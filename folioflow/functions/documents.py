@@ -8,6 +8,7 @@ import re
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +67,32 @@ def read_page(source: str | None) -> dict | None:
     return {"text": flat(p.text), "title": flat(p.title), "meta": [{"name": n, "value": v} for n, v in p.meta], "links": list(dict.fromkeys(p.links)), "json_ld": p.data}
 
 
+def absolute(base: Column, href: Column) -> Column:
+    """Address of a link on a page: absolute ones stay; ``//host``, ``/path``, ``?query``, ``#part`` and relative ones are put on the base."""
+    scheme, host = F.regexp_extract(base, r"\A([A-Za-z][A-Za-z0-9+.-]*):", 1), F.regexp_extract(base, r"\A([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    bare = F.regexp_replace(base, r"[#].*\z", "")
+    plain = F.regexp_replace(bare, r"[?].*\z", "")
+    folder = F.concat(host, F.regexp_replace(F.concat(F.lit("/"), F.regexp_replace(plain.substr(F.length(host) + 1, F.length(plain)), r"\A/", "")), r"[^/]*\z", ""))
+    x = F.trim(href)
+    return (
+        F.when(x.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:"), x).when(x.startswith("//"), F.concat(scheme, F.lit(":"), x)).when(x.startswith("/"), F.concat(host, x))
+        .when(x.startswith("?"), F.concat(plain, x)).when(x.startswith("#") | (x == ""), F.concat(bare, x)).otherwise(F.concat(folder, x))
+    )
+
+
+def meta_values(page: Column, *names: str) -> Column:
+    """ARRAY of the values of a page's meta entries by the given names, names in order, then place."""
+    def of(name: str) -> Column:
+        return F.transform(F.filter(page["meta"], lambda m: m["name"] == name.lower()), lambda m: m["value"])
+
+    return F.flatten(F.array(*[of(n) for n in names]))
+
+
+def links_like(page: Column, base: Column, pattern: str) -> Column:
+    """ARRAY of the page's links, absolute, once each in order, that the pattern is found in."""
+    return F.array_distinct(F.filter(F.transform(page["links"], lambda h: absolute(base, h)), lambda h: h.rlike(pattern)))
+
+
 @F.pandas_udf(PAGE)
 def page(c: pd.Series) -> pd.DataFrame:
     """Text, title, meta, links and JSON-LD of an HTML page; null for null."""
@@ -85,29 +112,41 @@ def markup_text(c: pd.Series) -> pd.Series:
 
 
 def chunks_of(text: str, most: int) -> list[str]:
-    """Pieces of whole lines of up to ``most`` characters that add up to the text; a fenced block stays in one piece."""
-    units, fenced = [], []
-    for line in text.splitlines(keepends=True):
-        mark = line.lstrip().startswith("```")
-        if fenced:
-            fenced.append(line)
-            if mark:
-                units.append("".join(fenced))
-                fenced = []
-        elif mark:
-            fenced = [line]
-        else:
-            units.append(line)
-    if fenced:
-        units.append("".join(fenced))
-    out, size = [[]], 0
-    for u in units:
-        if out[-1] and size + len(u) > most:
+    """Pieces of whole lines, joined by line feeds they give the text again.
+
+    A piece is closed before the line that would take it over ``most`` characters (with its line feed), but not inside a fenced
+    block; a fence opens and closes with a line that begins with three backticks or tildes. A text of up to ``most`` is one piece.
+    """
+    lines = text.split("\n")
+    opens = [x.startswith(("```", "~~~")) for x in lines]
+    out, size, fenced = [[]], 0, False
+    for line, mark in zip(lines, opens if len(text) > most else [False] * len(lines)):
+        fenced ^= mark
+        if len(text) > most and out[-1] and not fenced and size + len(line) + 1 > most:
             out.append([])
             size = 0
-        out[-1].append(u)
-        size += len(u)
-    return ["".join(x) for x in out if x]
+        out[-1].append(line)
+        size += len(line) + 1
+    return ["\n".join(x) for x in out]
+
+
+def packed(sizes: list[int], most: int) -> list[int]:
+    """Number of the batch of each block, in order: a block that no longer fits opens the next batch. One over ``most`` is refused."""
+    out, batch, held = [], 0, 0
+    for n in sizes:
+        if n > most:
+            raise ValueError(f"a block of {n} does not fit a batch of {most}")
+        if held + n > most:
+            batch, held = batch + 1, 0
+        held += n
+        out.append(batch)
+    return out
+
+
+@F.pandas_udf(T.DoubleType())
+def rounded(c: pd.Series) -> pd.Series:
+    """To three decimals as binary fractions round: 2.6675 reads 2.667 where its double lies below the tie; exact ties go to even."""
+    return pd.Series([None if pd.isna(x) else round(float(x), 3) for x in c], dtype="float64")
 
 
 def chunks(most: int):
@@ -120,8 +159,8 @@ def chunks(most: int):
     return split
 
 
-def json_in(text: str | None) -> str | None:
-    """The first JSON object or array in a text, fenced blocks first, as compact JSON; null if there is none."""
+def json_in(text: str | None, kind: type | None = None) -> str | None:
+    """The first JSON object or array in a text (only a dict or list, if ``kind`` says so), fenced blocks first, as compact JSON; null if there is none."""
     if text is None:
         return None
     decoder = json.JSONDecoder()
@@ -130,6 +169,9 @@ def json_in(text: str | None) -> str | None:
         while (m := re.compile(r"[\[{]").search(part, at)) is not None:
             try:
                 value, _ = decoder.raw_decode(part, m.start())
+                if kind is not None and not isinstance(value, kind):
+                    at = m.start() + 1
+                    continue
                 return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
             except ValueError:
                 at = m.start() + 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,6 +15,11 @@ WORD = r"[\p{L}\p{N}_]"
 NULL_TOKENS = ("NULL", "NONE", "N/A", "NA")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used; else long chains of rules repeat it in each use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space become one space; none at the ends."""
     return F.trim(F.regexp_replace(c, f"{WS}+", " "))
@@ -74,25 +80,45 @@ def phrase_pattern(phrase: str) -> str:
     return rf"(?iu)(?<!{WORD}){body}(?!{WORD})"
 
 
-def has_phrase(c: Column, phrase: str) -> Column:
-    """Whether the phrase stands in the text; a plain search for its first word goes before the regexp."""
+def has_phrase(lower: Column, phrase: str) -> Column:
+    """Whether the phrase stands in a text given in lower case; a plain search for its first word goes before the regexp."""
     word = phrase.split()[0].lower()
-    return F.coalesce(F.lower(c).contains(word) & c.rlike(phrase_pattern(phrase)), F.lit(False))
+    return F.coalesce(lower.contains(word) & lower.rlike(phrase_pattern(phrase)), F.lit(False))
+
+
+#: Fixed value: the marks that end a sentence. A full stop is none: it also ends abbreviations and numbers.
+ENDS = "。！？!?；;"
 
 
 def end_sentence(c: Column) -> Column:
-    """A full stop is added unless the text ends a sentence."""
-    x = squeeze(c)
-    return F.when(x == "", "").when(x.rlike(r"[.。!?！？;；]\z"), x).otherwise(F.concat(x, F.lit("。")))
+    """A full-width stop is added unless the text ends in one of ``ENDS``; empty stays empty."""
+    return let(squeeze(c), lambda x: F.when(x == "", "").when(x.rlike(rf"[{ENDS}]\z"), x).otherwise(F.concat(x, F.lit("。"))))
 
 
 def first_sentence(c: Column) -> Column:
-    """Up to the first sentence end that blank or the end follows, else the whole text."""
+    """Up to the first of ``ENDS`` that white space or the end follows; without one the whole text, closed."""
     x = squeeze(c)
-    found = F.regexp_extract(x, r"\A(.*?[.!?。！？])(?: |\z)", 1)
-    return F.when(found != "", found).otherwise(x)
+    found = F.regexp_extract(x, rf"\A(.+?[{ENDS}])(?:{WS}|\z)", 1)
+    return F.when(found != "", F.trim(found)).otherwise(end_sentence(c))
 
 
-def matching_word(c: Column, word: str, to: str) -> Column:
-    """Every whole word, in any case, replaced."""
+def replaced_word(c: Column, word: str, to: str) -> Column:
+    """Every whole word, in any case, replaced; letters of any script, ideographs too, make it part of a longer word."""
     return F.regexp_replace(c, rf"(?iu)(?<!{WORD}){re.escape(word)}(?!{WORD})", to)
+
+
+def slug(c: Column) -> Column:
+    """Lower-case runs of a-z0-9 joined by hyphens."""
+    return F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", "-"), r"\A-+|-+\z", "")
+
+
+def first_text(*cs: Column) -> Column:
+    """The first non-empty text, squeezed; empty if there is none."""
+    return F.coalesce(*[blank_to_null(squeeze(c)) for c in cs], F.lit(""))
+
+
+def wiki_token(c: Column) -> Column:
+    """The token after ``/wiki/`` in an address, else the text as it is, stripped."""
+    x = strip(F.coalesce(c, F.lit("")))
+    found = F.regexp_extract(x, "/wiki/([A-Za-z0-9]+)", 1)
+    return F.when(found != "", found).otherwise(x)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
-from ..runtime import stage
+from ..runtime import ship, stage
 
 
 def first_by_id(df: DataFrame, ident: str, order: str) -> DataFrame:
@@ -42,7 +42,7 @@ def by_first_key(df: DataFrame, by: list[str], keys: list[Column], order: str) -
     return once.unionByName(rows.where("_k is null").drop("_k"))
 
 
-def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | None = None, rounds: int = 60, groups: DataFrame | None = None) -> DataFrame:
+def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | None = None, groups: DataFrame | None = None) -> DataFrame:
     """Rows kept when each is dropped iff it shares a key with an already *kept* earlier row.
 
     ``keys``: Columns whose equal non-empty values make duplicates; ``extra``: further pairs (a, b) of order values;
@@ -50,7 +50,8 @@ def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | Non
     Greedy in arrival order is the lexicographically first independent set. Each round settles, by aggregation on keys
     and not by pairs: an undecided row that is the first undecided one of all its keys, none of which a kept row holds,
     is kept; an undecided row is dropped if an earlier kept row holds one of its keys. Rounds follow chains of
-    alternating keys, not group sizes: a group of copies that holds a third of all rows is settled in two.
+    alternating keys, not group sizes: a group of copies that holds a third of all rows is settled in two. Every round
+    settles the first undecided row at least, so they end.
     """
     base = stage(df.select(F.col(order).alias("_o"), *[F.when(k != "", k.cast("string")).alias(f"_k{i}") for i, k in enumerate(keys)]), "greedy")
     n = len(keys)
@@ -63,7 +64,7 @@ def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | Non
     flat = stage(flat, "greedy")
     kept = stage(base.join(flat.select("_o").distinct(), "_o", "left_anti").select("_o"), "greedy")
     undecided = flat
-    for _ in range(rounds):
+    while True:
         lead = undecided.groupBy("i", "k").agg(F.min("_o").alias("first"))
         sure = undecided.join(lead, ["i", "k"]).groupBy("_o").agg(F.min(F.col("_o") == F.col("first")).alias("all_first")).where("all_first").select("_o")
         sure = stage(sure, "greedy")
@@ -73,8 +74,6 @@ def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | Non
         undecided = stage(undecided.join(sure, "_o", "left_anti").join(gone, "_o", "left_anti"), "greedy")
         if undecided.isEmpty():
             break
-    else:
-        raise RuntimeError("chains longer than the allowed rounds")
     return df.join(kept.select(F.col("_o").alias(order)), order, "left_semi")
 
 
@@ -109,6 +108,7 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: int = 96, once:
     is never above indels and sorts out the rest. Empty and null texts match nothing. ``once``: both tables are the same;
     each pair of two different texts comes once, the shorter first.
     """
+    ship(left.sparkSession)
     part = lambda df: df.where("text <> ''").select("text").distinct().select("text", F.xxhash64("text").alias("t"), F.length("text").alias("len"))
     l, r = part(left), part(right)
     # Lengths of partners: LCS is at most the shorter text, so 2 * short / (short + long) >= threshold / 100.
@@ -179,12 +179,6 @@ def known_reason(df: DataFrame, state: DataFrame, keys: list[tuple[str, str]], o
     return out.withColumn("reason", F.coalesce("reason", F.when(F.col("_near"), F.lit(name)))).drop("_v", "_near")
 
 
-def split_preferred(df: DataFrame, preferred: Column, order: list[Column]) -> DataFrame:
-    """Preferred rows first, each part in order; adds ``place``."""
-    w = Window.orderBy(F.when(preferred, 0).otherwise(1), *order)
-    return df.withColumn("place", F.row_number().over(w))
-
-
 def union_in_order(frames: list[DataFrame], order: str) -> DataFrame:
     """Union by name with ``source_nth`` in front of ``order``, so arrival order is that of the list."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.withColumn("source_nth", F.lit(i)) for i, f in enumerate(frames)])

@@ -34,6 +34,12 @@ def lookup(c: Column, table: Mapping[str, float], default: float) -> Column:
     return F.coalesce(F.try_element_at(m, c), F.lit(default))
 
 
+def named(c: Column, table: Mapping[str, str], default: str) -> Column:
+    """Name that a small map of literals gives a value."""
+    m = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    return F.coalesce(F.try_element_at(m, c), F.lit(default))
+
+
 def recency(age: Column, fresh_days: int) -> Column:
     """0.3 if unknown; from 1 down to 0 within the fresh days (over 1 for later dates); then a small tail over a year."""
     fresh = F.greatest(F.lit(0.0), 1 - age / F.lit(float(max(fresh_days, 1))))
@@ -67,6 +73,21 @@ def accepted(df: DataFrame, verdict: Column) -> DataFrame:
     return df.join(F.broadcast(any_true)).where(~F.col("_any") | F.coalesce(verdict, F.lit(False))).drop("_any")
 
 
+def numbered(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Adds ``place`` (1, 2, ...) over all rows in order, for any number of rows.
+
+    Rows are range-partitioned by the order, each partition numbers its own, and the counts of the partitions before it are
+    added: one small row a partition, never all rows in one task. The order must tell all rows apart.
+    """
+    from ..runtime import stage
+
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    own = stage(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_in", F.monotonically_increasing_id()), "numbered")
+    sizes = own.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_in").alias("_least"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    return own.join(F.broadcast(before), "_part").withColumn("place", F.col("_before") + F.col("_in") - F.col("_least") + 1).drop("_part", "_in", "_before", "_least")
+
+
 def top(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The n first rows over all: a limit on each partition, then a merge of n rows each."""
     return df.orderBy(*order).limit(n)

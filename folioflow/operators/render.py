@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import squeeze
-
-#: Words that show a note to be an internal message.
-TECHNICAL = ("traceback", "exception", "json", "prompt", "fallback")
-
-
 def entry(nth: Column, title: Column, authors: Column, source: Column, date: Column, link: Column) -> Column:
     """One record as Markdown; missing parts are named as such."""
     who = F.coalesce(F.when(F.size(authors) > 0, F.array_join(authors, ", ")), F.lit("unknown"))
@@ -31,26 +25,28 @@ def digest(df: DataFrame, by: list[str], place: str, body: Column, target: int)
     return parts.select(*by, F.size("x").cast("long").alias("records"), text.alias("markdown"))
 
 
+#: Fixed value: what a digest without records says.
+NOTHING = "No new records today."
+
+
+def with_empty(digests: DataFrame, wanted: DataFrame, by: list[str]) -> DataFrame:
+    """Digests of all wanted groups; one without records says so."""
+    head = F.concat(F.lit("# Digest: "), *[F.coalesce(F.col(b), F.lit("")) for b in by], F.lit("\n\n" + NOTHING))
+    out = wanted.select(*by).distinct().join(digests, by, "left")
+    return out.select(*by, F.coalesce("records", F.lit(0).cast("long")).alias("records"), F.coalesce("markdown", head).alias("markdown"))
+
+
+def archive_order(issue: Column, seen: Column, place: Column) -> list[Column]:
+    """Latest issue first, in it the latest seen, of these the lowest place; nulls last."""
+    return [issue.desc_nulls_last(), seen.desc_nulls_last(), place.asc_nulls_last()]
+
+
 def archive_document(df: DataFrame, issue: str, order: list[Column], body: Column) -> DataFrame:
     """issue, records, markdown: each issue's entries in order."""
     rows = df.groupBy(issue).agg(F.array_sort(F.collect_list(F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], body.alias("t")))).alias("x"))
     return rows.select(issue, F.size("x").cast("long").alias("records"), F.concat_ws("\n", F.concat(F.lit("## "), F.col(issue).cast("string")), F.array_join(F.transform("x", lambda e: e["t"]), "\n")).alias("markdown"))
 
 
-def clean_note(c: Column) -> Column:
-    """Squeezed; empty if it is an internal message; doubled punctuation and leading labels go."""
-    x = squeeze(c)
-    low = F.lower(x)
-    technical = F.lit(False)
-    for word in TECHNICAL:
-        technical = technical | low.contains(word)
-    x = F.regexp_replace(x, r"(?i)^(?:note|comment|remark)\s*:\s*", "")
-    x = F.regexp_replace(x, r"([,;:])[,;:]+", "$1")
-    x = F.regexp_replace(x, r"\.{2,}", ".")
-    x = F.regexp_replace(x, r" +([,.;:!?])", "$1")
-    return F.when(technical, "").otherwise(F.trim(x))
-
-
 def too_short(source: Column, translated: Column, share: float = 0.22, least: int = 80, from_length: int = 240) -> Column:
     """Whether a translation lost too much: long source, short result; any empty result of a non-empty source."""
     n, m = F.length(F.coalesce(source, F.lit(""))), F.length(F.trim(F.coalesce(translated, F.lit(""))))

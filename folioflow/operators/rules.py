@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import has_phrase
+from ..runtime import spread
 
 FIELDS = ("title", "abstract", "authors")
 
@@ -33,15 +34,38 @@ class Bucket:
     bonus: str = "0"
 
 
+@dataclass(frozen=True)
+class Extra:
+    """A bonus of its own where any of the groups is hit in one of the fields; ``bucket``: only for that bucket."""
+
+    groups: Sequence[str]
+    weight: str
+    fields: Sequence[str] = FIELDS
+    bucket: str | None = None
+
+
 @dataclass(frozen=True)
 class Rules:
-    """Groups of phrases; weights: of a hit by field, and of each satisfied requirement."""
+    """Groups of phrases; weights: of a hit by field, and of each satisfied requirement; extras: bonuses of single groups."""
 
     groups: Mapping[str, Sequence[str]]
     buckets: Sequence[Bucket]
     exclude: Sequence[str] = ()
     field_weights: Mapping[str, str] = field(default_factory=lambda: {"title": "2", "abstract": "1", "authors": "0.5"})
     weights: Mapping[str, str] = field(default_factory=dict)
+    extras: Sequence[Extra] = ()
+
+
+def from_config(config: Mapping) -> Rules:
+    """Rules of a loaded configuration: groups, buckets (their requirements by name), exclude, field_weights, weights, extras.
+
+    Numbers may be given as such. Unknown keys of a bucket or an extra are refused; missing parts keep their defaults.
+    """
+    text = lambda m: {k: str(v) for k, v in (m or {}).items()}
+    buckets = [Bucket(name, **{k: str(v) if k == "bonus" else v for k, v in (b or {}).items()}) for name, b in (config.get("buckets") or {}).items()]
+    extras = [Extra(**{k: str(v) if k == "weight" else v for k, v in x.items()}) for x in config.get("extras") or []]
+    more = {"field_weights": text(config["field_weights"])} if config.get("field_weights") else {}
+    return Rules(groups=config.get("groups") or {}, buckets=buckets, exclude=config.get("exclude") or (), weights=text(config.get("weights")), extras=extras, **more)
 
 
 def _number(x: str) -> Column:
@@ -49,7 +73,7 @@ def _number(x: str) -> Column:
 
 
 def hits(text: Column, phrases: Sequence[str]) -> Column:
-    """Sorted ARRAY of the distinct phrases in the text."""
+    """Sorted ARRAY of the distinct phrases in the lower-case text."""
     return F.array_compact(F.array(*[F.when(has_phrase(text, p), F.lit(p)) for p in sorted(set(phrases))]))
 
 
@@ -60,11 +84,12 @@ def with_hits(df: DataFrame, rules: Rules) -> DataFrame:
     below the scores instead of repeating every regexp in each of them. ``authors`` may be an array.
     """
     kinds = dict(df.dtypes)
-    text = {f: F.coalesce(F.array_join(f, " ") if kinds[f].startswith("array") else F.col(f), F.lit("")) for f in FIELDS}
-    found = df.withColumns({f"_h_{g}_{f}": hits(text[f], phrases) for g, phrases in rules.groups.items() for f in FIELDS})
+    lower = {f"_l_{f}": F.lower(F.coalesce(F.array_join(f, " ") if kinds[f].startswith("array") else F.col(f), F.lit(""))) for f in FIELDS}
+    text = {f: F.col(f"_l_{f}") for f in FIELDS}
+    found = spread(df).withColumns(lower).withColumns({f"_h_{g}_{f}": hits(text[f], phrases) for g, phrases in rules.groups.items() for f in FIELDS})
     sized = found.withColumns({f"_n_{g}_{f}": F.size(f"_h_{g}_{f}") for g in rules.groups for f in FIELDS})
     whole = F.struct(*[F.struct(*[F.col(f"_h_{g}_{f}").alias(f) for f in FIELDS]).alias(g) for g in rules.groups])
-    return sized.withColumn("hits", whole).drop(*[f"_h_{g}_{f}" for g in rules.groups for f in FIELDS])
+    return sized.withColumn("hits", whole).drop(*lower, *[f"_h_{g}_{f}" for g in rules.groups for f in FIELDS])
 
 
 def long_hits(df: DataFrame, rules: Rules, ident: str) -> DataFrame:
@@ -135,6 +160,9 @@ def bucket_score(b: Bucket, rules: Rules) -> Column:
     for g in b.optional_any:
         out = out + add(_total(g) > 0, "optional_any")
     out = out + add(_some([*b.require_all, *b.require_any], ["abstract"]), "abstract")
+    for x in rules.extras:
+        if x.bucket in (None, b.name):
+            out = out + F.when(_some(x.groups, x.fields), _number(x.weight)).otherwise(_number("0"))
     for g in b.penalty:
         out = out - _total(g) * w("penalty")
     return out.cast("decimal(18,3)")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,3 +58,25 @@ def united_ids(*frames: DataFrame) -> DataFrame:
 def ids_by_source(df: DataFrame) -> DataFrame:
     """source, ids ARRAY sorted, n: what a commit writes for each source."""
     return united_ids(df).groupBy("source").agg(F.array_sort(F.collect_set("id")).alias("ids")).withColumn("n", F.size("ids").cast("long"))
+
+
+def seen_records(df: DataFrame, task: Column, at: Column) -> DataFrame:
+    """What a delivery leaves: scope (``all`` and the task's own), key_kind, key, paper_id, task_name, title, source, date, link, pushed_at.
+
+    Each record stands under its id, its address and its title, where it has them, in both scopes.
+    """
+    keys = F.array(*[F.struct(F.lit(k).alias("key_kind"), F.col(k).alias("key")) for k in ("paper_id", "canonical_url", "normalized_title")])
+    rows = df.select("paper_id", task.alias("task_name"), "title", "source", "date", "link", at.alias("pushed_at"), F.explode(F.filter(keys, lambda k: k["key"] != "")).alias("k"))
+    rows = rows.withColumn("scope", F.explode(F.array(F.lit("all"), F.concat(F.lit("task:"), F.col("task_name")))))
+    return rows.select("scope", "k.key_kind", "k.key", "paper_id", "task_name", "title", "source", "date", "link", "pushed_at")
+
+
+def latest_seen(df: DataFrame) -> DataFrame:
+    """Of each scope and key the record pushed last (of equals the highest id); the state that look-ups read."""
+    rest = [c for c in df.columns if c not in ("scope", "key_kind", "key")]
+    return df.groupBy("scope", "key_kind", "key").agg(F.max(F.struct("pushed_at", *[c for c in rest if c != "pushed_at"])).alias("r")).select("scope", "key_kind", "key", *[f"r.{c}" for c in rest])
+
+
+def committed(state: DataFrame, payloads: DataFrame, source: str = "all") -> DataFrame:
+    """The id state after a commit from payloads (source, id), of one source or all; ids are cleaned, once each."""
+    return united_ids(state, payloads if source == "all" else payloads.where(F.col("source") == source))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core, rejects
+from . import core, rejects, sources
 
-PARTS = (rejects, core)
+PARTS = (rejects, core, sources)
 QUERIES = {k: v for m in PARTS for k, v in m.QUERIES.items()}
 SQL = {k: v for m in PARTS for k, v in m.SQL.items()}
 

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import documents as docs
 from ..functions import query_language as Q
+from ..functions import notes
 from ..functions import text as X
-from ..operators import dedupe, filters, merge, rank, render, rules, state
-from ..runtime import stage, table
+from ..operators import dedupe, enrich, filters, merge, rank, render, rules, state
+from ..runtime import spread, stage, table
 
 AS_OF = datetime.date(2025, 6, 30)
 INCLUDE, EXCLUDE = ["language model", "evidence"], ["intraday", "bailout"]
@@ -36,6 +37,7 @@ RULES = rules.Rules(
     ],
     exclude=["vetoed"],
     field_weights={"title": "2.25", "abstract": "1.5", "authors": "0.25"},
+    extras=[rules.Extra(["methods"], "1.05"), rules.Extra(["markets"], "1.3"), rules.Extra(["outcomes"], "1.45"), rules.Extra(["methods"], "2.2", fields=("title", "abstract"), bucket="tooling")],
     weights={"require_all": "2.5", "require_any": "1.1", "title_any": "0.4", "title_or_abstract_any": "0.8", "optional_any": "0.6", "abstract": "0.7", "penalty": "1.6"},
 )
 WEIGHTS = rank.Weights(source={"JournalFeed": 1.5, "OpenShelf": 1.0}, bucket={"core": 1.0, "tooling": 0.5}, group={"core_prediction": 0.75, "backup": -0.5})
@@ -103,17 +105,30 @@ _URL = r"""select row_no, case when link <> '' then case when regexp_matches(tri
   then lower(regexp_extract(trim(link), '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) || substr(regexp_replace(trim(link), '(?s)[?#].*$', ''), length(regexp_extract(trim(link), '^([A-Za-z][A-Za-z0-9+.-]*):', 1)) + 1) else trim(link) end end url from papers"""
 
 
+#: Typed dates that the tables do not hold, as extra rows of ``date_parse`` (numbers below 0).
+TYPED = (
+    "Tue, 05 Mar 2024 23:30:00 -0500", "5 March 2024 10:11:12", "Published: 2021-02-03", "Posted: 3 May 2020,", "05 Mar 2024 01:30:00 +0530", "Sun, 31 Dec 2023 22:00:00 PST", "1 Jan 2024 00:10 GMT",
+    "seen 2024-99-99 x", "2024-13-05", "1999-01-02T00:00:00Z", "2024-02-30", "March 3, 2020", "n.d.", "",
+)
+
+
 def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ISO date as typed, age, and the window predicates."""
     p = _papers(spark, sf_dir).select("row_no", "date")
+    p = p.unionByName(spark.createDataFrame([(-k, x) for k, x in enumerate(TYPED, 1)], "row_no bigint, date string"))
     iso = D.parse_date(F.col("date"))
     p = p.withColumn("iso", iso)
     return p.select("row_no", "iso", D.days_since(F.col("iso"), AS_OF).cast("bigint").alias("age"), filters.within(F.col("iso"), 900, AS_OF).alias("recent"), filters.on_or_after(F.col("iso"), "2020-01-01").alias("late"))
 
 
-_ISO = """coalesce(strftime(coalesce(try_strptime(x, '%Y-%m-%d'), try_strptime(x, '%Y/%m/%d'), try_strptime(x, '%d %b %Y'), try_strptime(x, '%d %B %Y'), try_strptime(x, '%b %d, %Y'), try_strptime(x, '%B %d, %Y'), try_strptime(x, '%Y-%m-%dT%H:%M:%SZ')), '%Y-%m-%d'),
-  nullif(regexp_extract(x, '(20[0-9]{2}-[0-9]{2}-[0-9]{2})', 1), ''))"""
-_DATES = f"""with p as (select row_no, trim(date) x from papers), q as (select row_no, {_ISO} iso from p)
+_CLEAN_DATE = r"regexp_replace(regexp_replace(trim(regexp_replace({0}, '[\t-\r\x1c-\x20\x{{85}}\p{{Z}}]+', ' ', 'g')), 'Published:|Posted:', '', 'g'), '^[, ]+|[, ]+$', '', 'g')"
+#: Message dates with a numeric or a named zone, as UTC; without one their own day.
+_MESSAGE = r"""coalesce(try_strptime(regexp_replace(x, '^[A-Za-z]{3}, ', ''), '%d %b %Y %H:%M:%S %z')::timestamptz at time zone 'UTC',
+  try_strptime(regexp_replace(x, '^(?:[A-Za-z]{3}, )?(.*) GMT$', '\1'), '%d %b %Y %H:%M'), try_strptime(regexp_replace(x, '^(?:[A-Za-z]{3}, )?(.*) PST$', '\1'), '%d %b %Y %H:%M:%S') + interval 8 hours)"""
+_ISO = f"""coalesce(strftime(coalesce(try_strptime(x, '%Y-%m-%d'), try_strptime(x, '%Y/%m/%d'), try_strptime(x, '%d %B %Y'), try_strptime(x, '%d %b %Y'), try_strptime(x, '%B %d, %Y'), try_strptime(x, '%b %d, %Y'), try_strptime(x, '%d %B %Y %H:%M:%S'), {_MESSAGE}), '%Y-%m-%d'),
+  nullif(regexp_extract(x, '(20[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}})', 1), ''))"""
+_TYPED = " union all ".join(f"select {-k}::bigint, '{x}'" for k, x in enumerate(TYPED, 1))
+_DATES = f"""with p as (select row_no, {_CLEAN_DATE.format('date')} x from (select row_no, date from papers union all {_TYPED})), q as (select row_no, {_ISO} iso from p)
 select row_no, iso, date_diff('day', try_cast(iso as date), date '2025-06-30') age, coalesce(date_diff('day', try_cast(iso as date), date '2025-06-30') <= 900, true) recent, coalesce(iso >= '2020-01-01', false) late from q"""
 
 
@@ -124,17 +139,17 @@ def adaptive_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.adaptive_window(p, age, ["source_handler"], 400, 1500, 40, drop_undated=True).select("row_no", "source_handler")
 
 
-_ADAPTIVE = f"""with p as (select row_no, source_handler, trim(coalesce(nullif(recency_date, ''), nullif(updated, ''), nullif(date, ''))) x from papers),
+_ADAPTIVE = f"""with p as (select row_no, source_handler, {_CLEAN_DATE.format("coalesce(nullif(recency_date, ''), nullif(updated, ''), nullif(date, ''))")} x from papers),
 q as (select row_no, source_handler, date_diff('day', try_cast({_ISO} as date), date '2025-06-30') age from p),
 c as (select *, count_if(coalesce(age <= 400, false)) over (partition by source_handler) n from q)
 select row_no, source_handler from c where age <= 1500 and (age <= 400 or n < 40)"""
 
 
 def record_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Published articles: journal sources must hold journal articles from 2019 on; sorted place within the source."""
+    """Published articles: journal sources must hold journal articles from 2019 on; latest first."""
     a = table(spark, sf_dir, "journal_articles")
     a = a.where(filters.of_type(F.col("source"), F.col("type"), ["top_journal"], "journal-article") & filters.not_before(F.col("published"), F.col("year"), "2019-01-01"))
-    return a.select("article_no", "source", "published")
+    return a.orderBy(F.col("published").desc_nulls_last(), F.col("year").desc_nulls_last(), "article_no").select("article_no", "source", "published")
 
 
 _TYPES = f"""with a as (select *, {_STRICT.replace('date)', 'published)').replace('trim(date', 'trim(published')} d from journal_articles)
@@ -183,6 +198,7 @@ def _decision_sql(select: str) -> str:
         s.append(f"case when {some(b.title_or_abstract_any, ['title', 'abstract']) if b.title_or_abstract_any else 'true'} then {w['title_or_abstract_any']} else 0 end")
         s += [f"case when {total(g)} > 0 then {w['optional_any']} else 0 end" for g in b.optional_any]
         s.append(f"case when {some([*b.require_all, *b.require_any], ['abstract'])} then {w['abstract']} else 0 end")
+        s += [f"case when {some(x.groups, x.fields)} then {x.weight} else 0 end" for x in RULES.extras if x.bucket in (None, b.name)]
         s += [f"-{total(g)} * {w['penalty']}" for g in b.penalty]
         score.append("(" + " + ".join(f"({x})" for x in s) + ")")
     veto = some(RULES.exclude, rules.FIELDS)
@@ -211,20 +227,24 @@ def _profile_sql() -> str:
 # ---------------------------------------------------------------- ranking and selection
 
 
-def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decided records with verdict and final score. A record's verdict stands in its metadata's page count here."""
-    p = _papers(spark, sf_dir).withColumn("source", F.trim("source")).select("row_no", "paper_id", "title", "abstract", "authors", "source", "source_handler", "date", "link", "query_groups", "raw_metadata", "canonical_url", "normalized_title")
-    d = rules.decide(p, RULES)
+def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """row_no, answer: stored answers of a backend, made of the records' metadata here; records without pages have none."""
     pages = F.get_json_object("raw_metadata", "$.pages")
-    relevance, pick = rank.as_score(pages), rank.as_score((pages.try_cast("double") * 1.5))
+    said = F.to_json(F.struct(pages.alias("relevance_score"), (pages.try_cast("double") * 1.5).cast("string").alias("top_pick_score"), (pages.try_cast("int") % 2).cast("string").alias("is_relevant")))
+    return _papers(spark, sf_dir).where(pages.isNotNull()).select("row_no", said.alias("answer"))
+
+
+def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decided records with the backend's verdicts, heuristic and final score."""
+    p = _papers(spark, sf_dir).withColumn("source", F.trim("source")).select("row_no", "paper_id", "title", "abstract", "authors", "source", "source_handler", "date", "link", "query_groups", "canonical_url", "normalized_title")
+    d = enrich.with_verdicts(rules.decide(p, RULES), _answers(spark, sf_dir), "row_no")
     age = D.days_since(D.parse_date(F.col("date")), AS_OF)
     noise = sum((F.size(F.col(f"hits.noise.{f}")) for f in rules.FIELDS[1:]), F.size("hits.noise.title"))
     heuristic = rank.heuristic(F.col("score"), age, [F.coalesce(F.col("abstract") != "", F.lit(False)), F.coalesce(F.size("authors") > 0, F.lit(False)), F.coalesce(F.col("date") != "", F.lit(False))], F.col("source"), F.col("bucket"), F.coalesce("query_groups", F.array().cast("array<string>")), noise, WEIGHTS)
-    verdict = rank.as_bool(F.when(pages.isNotNull(), (pages.try_cast("int") % 2).cast("string")))
-    d = d.withColumns({"relevance": relevance, "pick": pick, "verdict": verdict, "heuristic": F.round(heuristic, 6)})
+    d = d.withColumn("heuristic", F.round(heuristic, 6))
     d = d.withColumn("final", F.round(F.col("heuristic") + F.col("relevance") * WEIGHTS.relevance + F.col("pick") * WEIGHTS.pick, 5))
     # Rules run once; the stages after them read the table of decisions (also twice, as for "any accepted").
-    return stage(d.drop("abstract", "raw_metadata", "bucket_scores"), "decisions")
+    return stage(d.drop("abstract", "bucket_scores"), "decisions")
 
 
 def heuristic_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,15 +272,23 @@ ranked as (select *, round(h0::double, 6) heuristic, round(round(h0::double, 6)
 {select}"""
 
 
-def semantic_topn_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best 200 candidates by bucket and score, those with a true verdict; all of them if there is none."""
-    r = _ranked(spark, sf_dir).where("matched")
+def _asked(r: DataFrame, n: int) -> DataFrame:
+    """Adds ``asked``: whether the row is one of the best n by bucket and score; only these have a verdict."""
     priority = rank.lookup(F.col("bucket"), {"core": 3, "tooling": 2, "adjacent": 1}, 0)
-    return rank.accepted(rank.top(r, [priority.desc(), F.col("score").desc(), F.col("row_no")], 200), F.col("verdict")).select("row_no", "bucket")
+    best = rank.top(r, [priority.desc(), F.col("score").desc(), F.col("row_no")], n).select("row_no", F.lit(True).alias("asked"))
+    r = r.join(best, "row_no", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
+    return r.withColumn("verdict", F.when(F.col("asked"), F.col("verdict")))
+
+
+def semantic_topn_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the best 200 candidates by bucket and score those with a true verdict; all candidates if there is none."""
+    r = _asked(_ranked(spark, sf_dir).where("matched"), 200)
+    return rank.accepted(r, F.col("verdict")).select("row_no", "bucket")
 
 
-_TOPN = """select row_no, bucket from (select *, bool_or(coalesce(verdict, false)) over () any_true from (
-  select * from ranked where matched order by case bucket when 'core' then 3 when 'tooling' then 2 when 'adjacent' then 1 else 0 end desc, score desc, row_no limit 200)) where not any_true or coalesce(verdict, false)"""
+_PRIORITY = "case bucket when 'core' then 3 when 'tooling' then 2 when 'adjacent' then 1 else 0 end desc, score desc, row_no"
+_TOPN = f"""select row_no, bucket from (select *, bool_or(coalesce(asked and verdict, false)) over () any_true from (
+  select *, row_number() over (order by {_PRIORITY}) <= 200 asked from ranked where matched)) where not any_true or coalesce(asked and verdict, false)"""
 
 
 def balanced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,16 +322,28 @@ def stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.groupBy(source.alias("handler"), F.coalesce("bucket", F.lit("unbucketed")).alias("bucket")).agg(F.count("*").alias("fetched"), F.count_if("matched").alias("matched"), F.count_if(F.col("matched") & F.col("verdict")).alias("accepted"), F.count_if(F.col("matched") & ~F.col("verdict")).alias("rejected"))
 
 
-_METRICS = """select coalesce(nullif(source_handler, ''), nullif(source, ''), 'unknown') handler, coalesce(bucket, 'unbucketed') bucket, count(*) fetched, count_if(matched) matched, count_if(coalesce(matched and verdict, false)) accepted, count_if(coalesce(matched and not verdict, false)) rejected from ranked group by 1, 2"""
+_METRICS = """select coalesce(nullif(source_handler, ''), nullif(source, ''), 'unknown') handler, coalesce(bucket, 'unbucketed') bucket, count(*) fetched, count_if(matched)::bigint matched, count_if(coalesce(matched and verdict, false))::bigint accepted, count_if(coalesce(matched and not verdict, false))::bigint rejected from ranked group by 1, 2"""
 
 
 def candidate_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every candidate with its decision, scores, verdict and whether it was selected."""
+    """Every candidate with its decision, scores, verdict, whether it was selected, and its terms in order of first sight."""
     r = _ranked(spark, sf_dir)
     chosen = rank.balanced(r.where("matched"), [F.col("final").desc(), F.col("row_no")], "bucket", "core", 4, "tooling", 3, 12).select("row_no", F.lit(True).alias("selected"))
     terms = F.array_distinct(F.flatten(F.array(*[F.col(f"hits.{g}.{f}") for g in ("methods", "markets") for f in rules.FIELDS])))
     out = r.join(chosen, "row_no", "left")
-    return out.select("row_no", "bucket", F.round("final", 3).alias("final"), F.coalesce("verdict", F.lit(False)).alias("verdict"), F.coalesce("selected", F.lit(False)).alias("selected"), F.array_join(F.array_sort(terms), ", ").alias("terms"))
+    return out.select("row_no", "bucket", F.round("final", 3).alias("final"), F.coalesce("verdict", F.lit(False)).alias("verdict"), F.coalesce("selected", F.lit(False)).alias("selected"), F.array_join(terms, ", ").alias("terms"))
+
+
+def _audit_sql() -> str:
+    # Terms stand by group, then field, then name; each where it comes first.
+    place = "(case phrase_group when 'methods' then 0 else 3 end + case field when 'title' then 0 when 'abstract' then 1 else 2 end)"
+    head = _ranked_sql("").rstrip()
+    return f"""{head}, ht as (select row_no, phrase, min(({place}, phrase)) o from (with {_hit_sql()} select * from h) where phrase_group in ('methods', 'markets') group by 1, 2),
+tt as (select row_no, string_agg(phrase, ', ' order by o) terms from ht group by 1),
+w as (select *, row_number() over (partition by bucket order by final desc, row_no) rn from ranked where matched),
+b as (select *, bucket = 'core' and rn <= 4 forced from w where bucket <> 'tooling' or rn <= 3),
+c as (select row_no from b order by forced desc, final desc, row_no limit 12)
+select r.row_no, bucket, round(final, 3) final, coalesce(verdict, false) verdict, c.row_no is not null selected, coalesce(terms, '') terms from ranked r left join c using (row_no) left join tt using (row_no)"""
 
 
 def batches_and_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -335,13 +375,37 @@ def pushed_match_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.where("reason is not null").select("arrival_no", "reason")
 
 
-_REASON = """select arrival_no, case when paper_id in (select paper_id from accepted_papers where paper_id <> '') then 'paper_id'
+def _lcs_sql(pairs: str) -> str:
+    """CTEs that end in sim (a, b, similarity): the pairs (a, b) of different texts at 96 or more, longest common subsequences row by row."""
+    return f"""cand as materialized (select distinct a, b from ({pairs}) where a <> b and abs(length(a) - length(b)) <= (length(a) + length(b)) * 0.04 and levenshtein(a, b) <= (length(a) + length(b)) * 0.04),
+lcs as (select a, b, 0 i, list_transform(range(length(b) + 1), lambda x: 0) v from cand
+  union all select a, b, i + 1, list_reduce(list_transform(range(1, length(b) + 1), lambda j: [j::int]), lambda acc, x: list_append(acc, greatest(acc[-1], v[x[1] + 1], v[x[1]] + case when a[i + 1] = b[x[1]] then 1 else 0 end)), [0]) from lcs where i < length(a)),
+sim as (select a, b, 200.0::double * v[-1] / (length(a) + length(b)) similarity from lcs where i = length(a) and 200 * v[-1] >= 96 * (length(a) + length(b)))"""
+
+
+_TITLES_MET = "select i.normalized_title a, h.normalized_title b from (select distinct normalized_title from incoming_papers where normalized_title <> '') i, (select distinct normalized_title from accepted_papers where normalized_title <> '') h where abs(length(a) - length(b)) <= 12"
+_REASON = f"""with recursive {_lcs_sql(_TITLES_MET)}
+select arrival_no, case when paper_id in (select paper_id from accepted_papers where paper_id <> '') then 'paper_id'
   when canonical_url in (select canonical_url from accepted_papers where canonical_url <> '') then 'canonical_url'
-  when normalized_title in (select normalized_title from accepted_papers where normalized_title <> '') then 'title' end reason from incoming_papers where reason is not null"""
+  when normalized_title in (select normalized_title from accepted_papers where normalized_title <> '') then 'title'
+  when normalized_title in (select a from sim) then 'title_similarity' end reason from incoming_papers where reason is not null"""
+_FUZZY = f"""with recursive {_lcs_sql(_TITLES_MET)}
+select arrival_no, hist_no, round(similarity, 4) similarity from sim join incoming_papers i on i.normalized_title = a join accepted_papers h on h.normalized_title = b
+union all select arrival_no, hist_no, 100.0 from incoming_papers join accepted_papers h using (normalized_title) where normalized_title <> ''"""
+#: First-wins in rounds: what meets no earlier undecided row is kept, what meets an earlier kept one goes.
+_GREEDY = f"""with recursive t as (select distinct normalized_title x from papers where normalized_title <> ''),
+{_lcs_sql("select p.x a, q.x b from t p, t q where length(q.x) between length(p.x) and length(p.x) + 12 and (length(p.x) < length(q.x) or p.x < q.x)")},
+p as materialized (select *, row_number() over (order by row_no) i from papers),
+k as (select i, 'i' || paper_id k from p where paper_id <> '' union all select i, 'u' || canonical_url from p where canonical_url <> '' union all select i, 't' || normalized_title from p where normalized_title <> ''
+  union all select i, 's' || a || '|' || b from p join sim on normalized_title = a or normalized_title = b),
+e as (select x.i, list(distinct y.i) n from k x join k y using (k) where y.i < x.i group by 1),
+g as (select list(i order by i) und, list(coalesce(n, []) order by i) nb, []::bigint[] kept from p left join e using (i)
+  union all select list_filter(und, lambda u: list_has_any(nb[u], und) and not list_has_any(nb[u], new)), nb, list_concat(kept, new) from (select *, list_filter(und, lambda u: not list_has_any(nb[u], und)) new from g) where len(und) > 0)
+select row_no from p where i in (select unnest(kept) from g where len(und) = 0)"""
 
 
 def fuzzy_title_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incoming and delivered titles at 96 or more on the indel ratio, different texts only."""
+    """Incoming and delivered titles at 96 or more on the indel ratio; equal ones are at 100."""
     i = table(spark, sf_dir, "incoming_papers").select(F.col("arrival_no").alias("id"), F.col("normalized_title").alias("text"))
     a = table(spark, sf_dir, "accepted_papers").select(F.col("hist_no").alias("id"), F.col("normalized_title").alias("text"))
     return dedupe.fuzzy_pairs(i, a, 96).select(F.col("left_id").alias("arrival_no"), F.col("right_id").alias("hist_no"), F.round("similarity", 4).alias("similarity"))
@@ -387,28 +451,27 @@ def bulk_full_outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("key", merge.fill(F.col("c_name"), F.lit("unknown")).alias("name"), "o_orderkey", "o_orderstatus", F.array_join("priorities", ";").alias("priorities"))
 
 
-_BULK = """with o as (select o_custkey k, o_orderkey, o_orderstatus, o_orderpriority p from orders where o_orderkey % 7 <> 0),
+_BULK = """with o as (select o_custkey k, o_orderkey, o_orderstatus, o_orderpriority p from orders),
 l as (select k, max(o_orderkey) o_orderkey, arg_max(o_orderstatus, o_orderkey) o_orderstatus from o group by 1),
 i as (select k, p, min(o_orderkey) m from o where p <> '' group by 1, 2), s as (select k, string_agg(p, ';' order by m) priorities from i group by 1)
 select coalesce(c_custkey, l.k) as key, coalesce(nullif(c_name, ''), 'unknown') name, o_orderkey, o_orderstatus, priorities from customer full outer join l on c_custkey = l.k left join s on s.k = coalesce(c_custkey, l.k)"""
 
 
 def archive_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Incoming records merged into the delivered archive: counts by origin and source."""
+    """Incoming records merged into the delivered archive, row by row with where each comes from."""
     payload = ["paper_id", "canonical_url", "normalized_title", "title", "source", "date", "link"]
     a = table(spark, sf_dir, "accepted_papers").select("hist_no", *payload, F.to_date("pushed_at").alias("first_seen"))
     i = table(spark, sf_dir, "incoming_papers").select("arrival_no", *payload, "received_at")
-    m = merge.archive_merge(a, i, ["paper_id", "canonical_url", "normalized_title"], "hist_no", "arrival_no", payload, {"first_seen": F.to_date("received_at")})
-    return m.groupBy("origin", F.lower(F.trim("source")).alias("source")).agg(F.count("*").alias("n"), F.min("first_seen").alias("first_seen"))
+    return merge.archive_merge(a, i, ["paper_id", "canonical_url", "normalized_title"], "hist_no", "arrival_no", payload, {"first_seen": F.to_date("received_at")})
 
 
 _MERGE = """with m as (select arrival_no, least((select min(hist_no) from accepted_papers a where a.paper_id = i.paper_id and i.paper_id <> ''), (select min(hist_no) from accepted_papers a where a.canonical_url = i.canonical_url and i.canonical_url <> ''),
     (select min(hist_no) from accepted_papers a where a.normalized_title = i.normalized_title and i.normalized_title <> '')) hist_no from incoming_papers i),
 n as (select hist_no, max(arrival_no) arrival_no from m where hist_no is not null group by 1),
-old as (select case when n.arrival_no is null then 'kept' else 'updated' end origin, case when n.arrival_no is null then a.source else i.source end source, pushed_at::date first_seen from accepted_papers a left join n using (hist_no) left join incoming_papers i on i.arrival_no = n.arrival_no),
+old as (select case when n.arrival_no is null then 'kept' else 'updated' end origin, case when n.arrival_no is null then a.paper_id else i.paper_id end paper_id, case when n.arrival_no is null then a.canonical_url else i.canonical_url end canonical_url, case when n.arrival_no is null then a.normalized_title else i.normalized_title end normalized_title, case when n.arrival_no is null then a.title else i.title end title, case when n.arrival_no is null then a.source else i.source end source, case when n.arrival_no is null then a.date else i.date end date, case when n.arrival_no is null then a.link else i.link end link, pushed_at::date first_seen from accepted_papers a left join n using (hist_no) left join incoming_papers i on i.arrival_no = n.arrival_no),
 f as (select i.*, coalesce('paper_id:' || nullif(paper_id, ''), 'canonical_url:' || nullif(canonical_url, ''), 'normalized_title:' || nullif(normalized_title, ''), arrival_no::varchar) k from incoming_papers i where arrival_no in (select arrival_no from m where hist_no is null)),
-fresh as (select 'new' origin, source, received_at::date first_seen from (select *, row_number() over (partition by k order by arrival_no desc) r from f) where r = 1)
-select origin, lower(trim(source)) source, count(*) n, min(first_seen) first_seen from (from old union all from fresh) group by 1, 2"""
+fresh as (select 'new' origin, paper_id, canonical_url, normalized_title, title, source, date, link, received_at::date first_seen from (select *, row_number() over (partition by k order by arrival_no desc) r from f) where r = 1)
+from old union all from fresh"""
 
 
 # ---------------------------------------------------------------- rendering and text
@@ -465,19 +528,37 @@ def run_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KEYS = """select o_orderkey, 'orders-' || strftime(o_orderdate, '%Y-%m-%d') day_key, 'orders-' || isoyear(o_orderdate) || '-W' || lpad(week(o_orderdate)::varchar, 2, '0') week_key, isoyear(o_orderdate) || '-W' || lpad(week(o_orderdate)::varchar, 2, '0') suffix from orders"""
 
 
+#: Openings of reader notes, put before each document in turn, so that every rule of the cleaner meets whole texts.
+NOTE_HEADS = (
+    "", "如果你关心信贷，这篇文章", "如果你关心信贷, 这篇论文给出的证据很直接。", "这篇文章很值得关注，因为它", "这篇论文值得一读，", "仅从题目看，这篇文章", "文章", "这篇论文它", "这篇论文给出的", "规则命中：",
+)
+
+
 def note_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned notes, their first sentence, closed sentences."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Note:  "), "text", F.lit(" ,; see prompt..")).alias("a"), F.concat(F.lit("Remark: "), "text", F.lit(" ;, more..")).alias("b"))
-    return d.select("doc_id", render.clean_note(F.col("a")).alias("hidden"), render.clean_note(F.col("b")).alias("note"), X.first_sentence(F.col("b")).alias("first"), X.end_sentence(F.col("b")).alias("closed"))
+    """Cleaned notes, their first sentence, closed sentences, settled terms, of each document behind an opening."""
+    head = F.element_at(F.array(*[F.lit(h) for h in NOTE_HEADS]), (F.pmod("doc_id", F.lit(len(NOTE_HEADS))) + 1).cast("int"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(head, "text").alias("a"))
+    return d.select("doc_id", notes.clean_note(F.col("a")).alias("note"), X.first_sentence(F.col("a")).alias("first"), X.end_sentence(F.col("a")).alias("closed"), notes.settled_terms(F.concat(F.lit("LLM FinBERTs 法学硕士LLM "), F.col("a"))).alias("settled"))
 
 
 def _notes_sql() -> str:
-    note = lambda x: rf"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_SQ.format(x)}, '(?i)^(?:note|comment|remark)\s*:\s*', ''), '([,;:])[,;:]+', '\1', 'g'), '\.{{2,}}', '.', 'g'), ' +([,.;:!?])', '\1', 'g'))"
-    tech = lambda x: "(" + " or ".join(f"contains(lower({_SQ.format(x)}), '{w}')" for w in render.TECHNICAL) + ")"
-    return rf"""with d as (select doc_id, 'Note:  ' || split_part(text, chr(10), 1) || ' ,; see prompt..' a, 'Remark: ' || split_part(text, chr(10), 1) || ' ;, more..' b from documents),
-c as (select *, {_SQ.format('substr(b, 1, 40)')} h from d)
-select doc_id, case when {tech('a')} then '' else {note('a')} end hidden, case when {tech('b')} then '' else {note('b')} end note,
- coalesce(nullif(regexp_extract({_SQ.format('b')}, '^(.*?[.!?。！？])(?: |$)', 1), ''), {_SQ.format('b')}) as first, case when h = '' then '' when regexp_matches(h, '[.。!?！？;；]$') then h else h || '。' end closed from c"""
+    py = lambda p: p.replace(r"\A", "^").replace(r"\z", "$").replace(X.WS, r"[\t-\r\x1c-\x20\x{85}\p{Z}]")
+    heads = ", ".join(f"'{h}'" for h in NOTE_HEADS)
+    technical = " or ".join(f"contains(lower(x), '{w.lower()}')" for w in notes.TECHNICAL)
+    first, *rest = notes.OPENINGS
+    trim = lambda x: _SQ.format(x)
+    tail, care = trim(f"regexp_extract(y, '{py(notes.CARE)}', 2)"), py(notes.CARE)
+    kind = f"regexp_replace(substr({tail}, {len(notes.EVIDENCE) + 1}), '^[ ，,。]+|[ ，,。]+$', '', 'g')"
+    z = f"case when regexp_matches(y, '{care}') then '这篇论文围绕' || {trim(f"regexp_extract(y, '{care}', 1)")} || '，' || case when {tail} = '' then '提供了直接证据' when not starts_with({tail}, '{notes.EVIDENCE}') then {tail} when {kind} = '' then '给出了直接证据' else '给出了' || {kind} || '的证据' end else y end"
+    for pattern, to in rest:
+        z = f"regexp_replace({z}, '{py(pattern)}', '{to}')"
+    end = lambda v: f"(case when {v} = '' then '' when regexp_matches({v}, '[{X.ENDS}]$') then {v} else {v} || '。' end)"
+    return rf"""with d as (select doc_id, ([{heads}])[doc_id % {len(NOTE_HEADS)} + 1] || text a from documents),
+e as (select *, {trim('a')} x from d),
+f as (select *, regexp_replace(replace(x, '这篇文章', '这篇论文'), '{py(first[0])}', '{first[1]}') y from e),
+g as (select *, {z} z from f)
+select doc_id, case when {technical} then '' else {end(trim('z'))} end note, coalesce(nullif(trim(regexp_extract(x, '^(.+?[{X.ENDS}])(?:[\t-\r\x1c-\x20\x{{85}}\p{{Z}}]|$)', 1)), ''), {end('x')}) as first, {end('x')} closed,
+  replace(replace('大语言模型 FinBERTs 大语言模型LLM ' || regexp_replace(regexp_replace(trim(a, ' '), '(?i)(^|[^\p{{L}}\p{{N}}_])LLM($|[^\p{{L}}\p{{N}}_])', '\1大语言模型\2', 'g'), '(?i)(^|[^\p{{L}}\p{{N}}_])FinBERT($|[^\p{{L}}\p{{N}}_])', '\1FinBERT\2', 'g'), '法学硕士', '大语言模型'), '收益电话会议', '业绩电话会') settled from g"""
 
 
 def translation_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -492,18 +573,54 @@ _TRANSLATION = """with t as (select normalized_title, arg_min(title, hist_no) c
 x as (select row_no, length(coalesce(abstract, '')) n, length(trim(coalesce(c, ''))) m from papers left join t using (normalized_title) where normalized_title <> '')
 select row_no, case when m = 0 and n > 0 then true when n >= 240 then m < greatest(80, floor(n * 0.22)) else false end short from x"""
 
-#: Patterns of things that do not belong in a published text.
-PATTERNS = {"heading": r"(?m)^#{1,6} ", "year_range": r"\b(19|20)[0-9]{2} and (19|20)[0-9]{2}\b", "percent": r"[0-9]+ percent", "cut": r"\.\.\."}
+#: What does not belong in a published text. Credentials, private keys, home folders, chat and document ids.
+PATTERNS = {
+    "credential": r"[A-Z0-9_]*(?:SECRET|API_KEY|TOKEN|PASSWORD)\s*=\s*[^\s#]{8,}",
+    "private_key": r"BEGIN (?:RSA |OPENSSH |EC )?PRIVATE KEY",
+    "home_folder": r"/(?:home|Users)/[^/\s]+",
+    "chat_id": r"(?:oc_|ou_)[a-zA-Z0-9_-]{16,}|session=agent:|chat:[A-Za-z0-9_:.-]{12,}",
+    "document_target": r"(?:doc_token|wiki_token|wiki_url):\s*[\x22]?[A-Za-z0-9_:/.-]{12,}",
+    "heading": r"(?m)^#{1,6} ",
+    "percent": r"[0-9]+ percent",
+}
+#: Values that only stand for one.
+PLACEHOLDER = r"(?i)paste_|your_|example|placeholder"
+#: Lines with such things, put behind each document in turn, as the texts hold none of their own.
+LEAKED = ("", "", "X_API_KEY = abcd1234efgh", "-----BEGIN RSA PRIVATE KEY-----", "see /home/someone/x and /Users/else", "oc_0123456789abcdef0 chat:abcdefghijkl", "doc_token: abcdefghijklmno", "doc_token: your_document_token", "API_TOKEN=short")
+#: Names of files that hold secrets, and of files that a run leaves behind.
+SENSITIVE_FILE = r"(?i)(?:^|/)(?:\.env|jobs\.json|credentials[^/]*|.*\.(?:pem|key|p12|pfx|secret|token)|id_rsa|id_ed25519)$"
+RUNTIME_FILE = r"^data/|/data/|(?:^|/)__pycache__/|\.pyc$|\.log$|\.bak(?:$|\.)"
 
 
 def pattern_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that hold each pattern, and how often."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = F.array(*[F.struct(F.lit(k).alias("pattern"), F.regexp_count("text", F.lit(p)).cast("bigint").alias("hits")) for k, p in PATTERNS.items()])
+    """Lines of documents that hold each pattern, counted by document; targets that are placeholders do not count."""
+    tail = F.element_at(F.array(*[F.lit(x) for x in LEAKED]), (F.pmod("doc_id", F.lit(len(LEAKED))) + 1).cast("int"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", F.concat("text", F.lit("\n"), tail).alias("text")))
+
+    def hits(name: str, pattern: str):
+        if name == "document_target":
+            return F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(pattern) & ~x.rlike(PLACEHOLDER)))
+        return F.regexp_count("text", F.lit(pattern))
+
+    rows = F.array(*[F.struct(F.lit(k).alias("pattern"), hits(k, p).cast("bigint").alias("hits")) for k, p in PATTERNS.items()])
     return d.select("doc_id", F.explode(rows).alias("x")).select("doc_id", "x.pattern", "x.hits").where("hits > 0")
 
 
-_SCAN = " union all ".join(f"select doc_id, '{k}' pattern, len(regexp_extract_all(text, '{p}'))::bigint hits from documents where len(regexp_extract_all(text, '{p}')) > 0" for k, p in PATTERNS.items())
+def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files by name and size: sensitive ones, leftovers of runs, those over a mebibyte. Files are the abs files and the parts' names here."""
+    a = table(spark, sf_dir, "abs_records").groupBy("file_name").agg(F.sum(F.length("raw_text")).cast("bigint").alias("size"))
+    p = table(spark, sf_dir, "part").select(F.concat(F.lit("data/"), F.replace("p_type", F.lit(" "), F.lit("/")), F.lit("/"), F.col("p_partkey").cast("string"), F.lit(".key")).alias("file_name"), (F.col("p_size") * 40000).cast("bigint").alias("size"))
+    f = a.unionByName(p)
+    return f.select("file_name", F.col("file_name").rlike(SENSITIVE_FILE).alias("sensitive"), F.col("file_name").rlike(RUNTIME_FILE).alias("leftover"), (F.col("size") > 1 << 20).alias("large"))
+
+
+_TAILED = "select doc_id, text || chr(10) || ([" + ", ".join(f"'{x}'" for x in LEAKED) + f"])[doc_id % {len(LEAKED)} + 1] t from documents"
+_SCAN = f"with d as materialized ({_TAILED}) " + " union all ".join(
+    f"select doc_id, '{k}' pattern, len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{p}') and not regexp_matches(x, '{PLACEHOLDER}')))::bigint hits from d where hits > 0"
+    if k == "document_target" else f"select doc_id, '{k}' pattern, len(regexp_extract_all(t, '{p}'))::bigint hits from d where hits > 0" for k, p in PATTERNS.items()
+)
+_FILES = f"""with f as (select file_name, sum(length(raw_text))::bigint size from abs_records group by 1 union all select 'data/' || replace(p_type, ' ', '/') || '/' || p_partkey || '.key', p_size * 40000 from part)
+select file_name, regexp_matches(file_name, '{SENSITIVE_FILE}') sensitive, regexp_matches(file_name, '{RUNTIME_FILE}') leftover, size > 1048576 as large from f"""
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -514,7 +631,7 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def markdown_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in pieces of whole lines of up to 400 characters."""
-    d = table(spark, sf_dir, "documents").select("doc_id", docs.chunks(400)("text").alias("c"))
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", docs.chunks(400)("text").alias("c"))
     return d.select("doc_id", F.posexplode("c").alias("nth", "piece")).select("doc_id", F.col("nth").cast("bigint").alias("nth"), F.length("piece").cast("bigint").alias("n_chars"))
 
 
@@ -542,20 +659,37 @@ _JSON = "select row_no, try_cast(raw_metadata->>'$.pages' as bigint) pages from
 
 
 def ranked_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy dedupe, recency, rules, top candidates, verdicts, ranking, known records out, balanced selection."""
+    """Greedy dedupe, recency, rules, verdicts of the top candidates, ranking, known records out, balanced selection, filled from the rejected if short."""
     kept = greedy_dedupe(spark, sf_dir)
     r = _ranked(spark, sf_dir).join(kept, "row_no", "left_semi").where("matched")
-    r = r.where(filters.within(D.parse_date(F.col("date")), 2000, AS_OF))
-    priority = rank.lookup(F.col("bucket"), {"core": 3, "tooling": 2, "adjacent": 1}, 0)
-    r = rank.accepted(rank.top(r, [priority.desc(), F.col("score").desc(), F.col("row_no")], 120), F.col("verdict"))
-    r = dedupe.known_reason(r, table(spark, sf_dir, "accepted_papers"), [("paper_id", "paper_id"), ("canonical_url", "canonical_url"), ("title", "normalized_title")], "hist_no", ("title_similarity", "normalized_title")).where("reason is null")
-    return rank.balanced(r, [F.col("final").desc(), F.col("row_no")], "bucket", "core", 6, "tooling", 4, 20).select("place", "row_no", "bucket", "final", "title")
+    r = _asked(r.where(filters.within(D.parse_date(F.col("date")), 2000, AS_OF)), 120)
+    known = dedupe.known_reason(r, table(spark, sf_dir, "accepted_papers"), [("paper_id", "paper_id"), ("canonical_url", "canonical_url"), ("title", "normalized_title")], "hist_no", ("title_similarity", "normalized_title"))
+    known = stage(known, "known")
+    accepted = rank.accepted(known, F.col("verdict")).where("reason is null")
+    order = [F.col("final").desc(), F.col("row_no")]
+    chosen = rank.balanced(accepted, order, "bucket", "core", 6, "tooling", 4, 20).select("place", "row_no", "bucket", "final", "title")
+    rejected = known.where("asked and not coalesce(verdict, false) and reason is null")
+    return rank.backfill(chosen, rejected.select(*[c for c in chosen.columns if c != "place"], "relevance"), "row_no", F.col("relevance") >= 60, order, 20).select(F.col("place").cast("bigint").alias("place"), "row_no", "bucket", "final", "title")
+
+
+def _pipeline_sql() -> str:
+    return _ranked_sql(f""", known as materialized ({_REASON}),
+greedy as materialized ({_GREEDY}), acc_titles as (select distinct normalized_title from accepted_papers where normalized_title <> ''),
+m as materialized (select *, row_number() over (order by {_PRIORITY}) <= 120 asked from ranked where matched and row_no in (from greedy) and coalesce(age <= 2000, true)),
+near as materialized (with recursive {_lcs_sql("select distinct m.normalized_title a, h.normalized_title b from m, acc_titles h where m.normalized_title <> '' and abs(length(m.normalized_title) - length(h.normalized_title)) <= 12")} select distinct a from sim),
+v as (select *, bool_or(coalesce(asked and verdict, false)) over () any_true, coalesce(paper_id in (select paper_id from accepted_papers where paper_id <> ''), false) or coalesce(canonical_url in (select canonical_url from accepted_papers where canonical_url <> ''), false)
+  or coalesce(normalized_title in (from acc_titles), false) or coalesce(normalized_title in (from near), false) seen from m),
+w as (select *, row_number() over (partition by bucket order by final desc, row_no) rn from v where not seen and (not any_true or coalesce(asked and verdict, false))),
+b as (select *, bucket = 'core' and rn <= 6 forced from w where bucket <> 'tooling' or rn <= 4),
+c as (select row_number() over (order by forced desc, final desc, row_no) place, row_no, bucket, final, title from b order by place limit 20),
+x as (select row_number() over (order by relevance < 60, final desc, row_no) k, row_no, bucket, final, title from v where not seen and asked and not coalesce(verdict, false) and row_no not in (select row_no from c))
+select place, row_no, bucket, final, title from c union all select k + (select count(*) from c), row_no, bucket, final, title from x where k + (select count(*) from c) <= 20""").replace(f", known as materialized ({_REASON})", "", 1)
 
 
 QUERIES = {f.__name__: f for f in (
     simple_monitor, substring_filter, paper_normalize, url_canonicalize, date_parse, adaptive_window, record_types, phrase_hits, bucket_decision, legacy_profile, heuristic_rank, semantic_topn_filter,
     balanced_topk, backfill_topk, stage_metrics, candidate_audit, batches_and_caps, pushed_anti_join, pushed_match_reason, fuzzy_title_pairs, greedy_dedupe, provenance_merge, id_union, bulk_full_outer_merge,
-    archive_merge, digest_render, archive_window_doc, query_language, run_keys, note_sanitize, translation_enrich, pattern_scan, stream_dedupe, markdown_chunks, html_text, pages_parts, json_answers, ranked_pipeline,
+    archive_merge, digest_render, archive_window_doc, query_language, run_keys, note_sanitize, translation_enrich, pattern_scan, file_scan, stream_dedupe, markdown_chunks, html_text, pages_parts, json_answers, ranked_pipeline,
 )}
 
 SQL = {
@@ -577,6 +711,11 @@ SQL = {
     "batches_and_caps": _CAPS,
     "pushed_anti_join": r"""select arrival_no from incoming_papers where coalesce(regexp_replace(paper_id, '^[\t-\r\x1c-\x20\x{85}\p{Z}]+|[\t-\r\x1c-\x20\x{85}\p{Z}]+$', '', 'g'), '') not in (select regexp_replace(paper_id, '^[\t-\r\x1c-\x20\x{85}\p{Z}]+|[\t-\r\x1c-\x20\x{85}\p{Z}]+$', '', 'g') from accepted_papers where paper_id is not null and trim(paper_id) <> '')""",
     "pushed_match_reason": _REASON,
+    "fuzzy_title_pairs": _FUZZY,
+    "greedy_dedupe": _GREEDY,
+    "candidate_audit": _audit_sql(),
+    "ranked_pipeline": _pipeline_sql(),
+    "file_scan": _FILES,
     "provenance_merge": _PROVENANCE,
     "id_union": _UNION,
     "bulk_full_outer_merge": _BULK,

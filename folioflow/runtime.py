@@ -37,14 +37,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    """The folder the cluster names in spark.checkpoint.dir. Where that is unset: one of our own if all runs on this machine (tests), else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + os.path.join(tempfile.gettempdir(), "folioflow-shared")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; errors of the storage rise."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Writes ``df`` as a table in the shared folder and reads it back: lineage is cut, and lost executors lose nothing."""
     spark = ship(df.sparkSession)
@@ -69,6 +77,12 @@ def drop_staged() -> None:
 atexit.register(drop_staged)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its scan has fewer splits than there are cores (few row groups, much work a row); else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hints a broadcast only if ``df`` really has at most ``max_rows`` rows; else the optimizer picks the join."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

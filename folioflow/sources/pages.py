@@ -1,57 +1,34 @@
-"""A batch data source over landed result pages: one input partition for each file, cursor semantics kept.
+"""Landed result pages, one JSON object a file: {"items": [...], "next": cursor or null, "status": code}, named stream-NNN.json.
 
-    spark.dataSource.register(LandedPages)
-    spark.read.format("landed_pages").option("path", folder).load()
-
-A file holds one page as JSON: {"items": [...], "next": cursor or null}. Pages of a stream are named stream-NNN.json; an
-empty page, or a cursor seen before, ends the stream.
+Files are listed and read by Spark, on whatever storage it reaches, one row a file; the order of a stream's pages is that
+of their numbers. A page ends its stream if it is empty, names no next page or one that was named before. A page with
+status 429 ends all streams: neither it nor any page after it counts, in the order of streams (by name) and pages.
 """
 
 from __future__ import annotations
 
-import json
-from pathlib import Path
-
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-
-class _Stream(InputPartition):
-    def __init__(self, name: str, files: list[str]):
-        self.name, self.files = name, files
-
-
-class LandedPages(DataSource):
-    """stream, nth, item (JSON text)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "landed_pages"
-
-    def schema(self) -> str:
-        return "stream string, nth int, item string"
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"])
+PAGE = "items array<string>, next string, status int"
 
 
-class _Reader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+def pages(files: DataFrame) -> DataFrame:
+    """stream, page, items of the pages that count. ``files``: path, value (the text). Other names and malformed pages are left out."""
+    p = files.select(F.regexp_extract("path", r"([^/]*)-[0-9]+\.json\z", 1).alias("stream"), F.regexp_extract("path", r"-([0-9]+)\.json\z", 1).try_cast("int").alias("page"), F.from_json("value", PAGE).alias("j"))
+    p = p.where(F.col("page").isNotNull() & (F.col("stream") != "") & (F.col("j.items").isNotNull() | (F.coalesce("j.status", F.lit(0)) == 429)))
+    order = [F.col("stream"), F.col("page")]
+    stop = p.where("j.status = 429").agg(F.min(F.struct("stream", "page")).alias("stop"))
+    p = p.join(F.broadcast(stop)).where(F.col("stop").isNull() | (F.struct("stream", "page") < F.col("stop"))).drop("stop")
+    named = F.row_number().over(Window.partitionBy("stream", "j.next").orderBy(*order)) > 1
+    p = p.select("stream", "page", "j.items", F.col("j.next").alias("next"), named.alias("again"))
+    last = (F.size("items") == 0) | F.coalesce(F.col("next") == "", F.lit(True)) | F.col("again")
+    before = Window.partitionBy("stream").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    ended = F.coalesce(F.max(last).over(before), F.lit(False))
+    return p.withColumn("ended", ended).where("not ended").select("stream", "page", "items")
 
-    def partitions(self) -> list[InputPartition]:
-        streams: dict[str, list[str]] = {}
-        for p in sorted(Path(self.path.removeprefix("file://")).glob("*-*.json")):
-            streams.setdefault(p.stem.rpartition("-")[0], []).append(str(p))
-        return [_Stream(k, v) for k, v in streams.items()]
 
-    def read(self, partition: _Stream):
-        seen, nth = set(), 0
-        for f in partition.files:
-            page = json.loads(Path(f).read_text(encoding="utf-8"))
-            for item in page.get("items") or []:
-                yield partition.name, nth, json.dumps(item, ensure_ascii=False)
-                nth += 1
-            cursor = page.get("next")
-            if not page.get("items") or not cursor or cursor in seen:
-                return
-            seen.add(cursor)
+def landed(spark: SparkSession, path: str) -> DataFrame:
+    """stream, page, nth (place in the page), item (JSON text) of the folder's pages."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
+    return pages(files).select("stream", "page", F.posexplode("items").alias("nth", "item"))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..runtime import exists
+
 
 class Delivery:
     """Delivers rows once by ``ident``; the first by ``order`` within a batch wins."""
@@ -21,11 +23,11 @@ class Delivery:
         self.spark, self.path, self.ident, self.order, self.publish = spark, path.rstrip("/"), ident, order, publish
 
     def _seen(self, schema: T.StructType, batch: int) -> DataFrame:
-        try:
-            seen = self.spark.read.schema(T.StructType([T.StructField(self.ident, schema[self.ident].dataType), T.StructField("batch", T.LongType())])).parquet(f"{self.path}/ids")
-            return seen.where(F.col("batch") < batch).select(self.ident)
-        except Exception:  # noqa: BLE001 - nothing was committed yet
-            return self.spark.createDataFrame([], T.StructType([schema[self.ident]]))
+        own = T.StructType([schema[self.ident]])
+        if not exists(self.spark, f"{self.path}/ids"):  # nothing was committed yet; any other failure to read rises
+            return self.spark.createDataFrame([], own)
+        seen = self.spark.read.schema(T.StructType([*own.fields, T.StructField("batch", T.LongType())])).parquet(f"{self.path}/ids")
+        return seen.where(F.col("batch") < batch).select(self.ident)
 
     def run(self, df: DataFrame, batch: int) -> None:
         """One micro-batch."""
