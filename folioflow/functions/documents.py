@@ -183,31 +183,38 @@ def first_json(c: pd.Series) -> pd.Series:
     return c.map(json_in)
 
 
-#: Containers that may hold an answer's text, in order of trial.
-CONTAINERS = ("payloads", "reply", "text", "message", "content", "assistant", "output")
+#: Fields that hold an answer's text as it is, containers that may hold it deeper, and where it lies last of all.
+DIRECT = ("reply", "text", "message", "assistant", "content")
+CONTAINERS = ("reply", "text", "message", "content", "assistant", "output")
+LAST = ("result", "messages")
 
 
 def answer_in(value) -> str:
-    """The first non-empty text found by descending through the known containers."""
+    """Text of a container: of the parts of a list, of all payloads (their text, else their content), else of the first field that has some."""
     if isinstance(value, str):
         return value.strip()
-    if isinstance(value, list):
-        return "\n".join(x for x in (answer_in(v) for v in value) if x)
     if isinstance(value, dict):
-        return next((x for x in (answer_in(value[k]) for k in CONTAINERS if k in value) if x), "")
-    return ""
+        payloads = value.get("payloads")
+        told = [answer_in(p["text"] if isinstance(p.get("text"), str) and p["text"].strip() else p.get("content")) for p in payloads if isinstance(p, dict)] if isinstance(payloads, list) else []
+        return "\n".join(filter(None, told)) or next(filter(None, (answer_in(value.get(k)) for k in CONTAINERS)), "")
+    return "\n".join(filter(None, map(answer_in, value))) if isinstance(value, list) else ""
 
 
-@F.pandas_udf(T.StringType())
-def answer_text(c: pd.Series) -> pd.Series:
-    """Text of an answer given as JSON in nested containers; text that is no JSON is its own answer."""
+def whole_answer(text: str | None) -> str | None:
+    """Text of an answer given as JSON; text that is no JSON is its own answer. Null if there is none."""
+    if text is None:
+        return None
+    try:
+        value = json.loads(text)
+    except ValueError:
+        return text.strip() or None
+    if not isinstance(value, dict):
+        return answer_in(value) or None
+    plain = next((value[k].strip() for k in DIRECT if isinstance(value.get(k), str) and value[k].strip()), "")
+    return plain or answer_in(value) or next(filter(None, (answer_in(value.get(k)) for k in LAST)), None)
 
-    def one(x: str | None) -> str | None:
-        if x is None:
-            return None
-        try:
-            return answer_in(json.loads(x))
-        except ValueError:
-            return x.strip()
 
-    return c.map(one)
+@F.pandas_udf(T.StringType())
+def answer_text(c: pd.Series) -> pd.Series:
+    """Text of an answer in nested containers, or its last resorts; null if there is none."""
+    return c.map(whole_answer)

@@ -235,6 +235,23 @@ def translations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.with_translations(p, answers, "row_no").select("row_no", "translated", "note")
 
 
+def agent_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of answers in three shapes, made of each record's title, source and date."""
+    p = table(spark, sf_dir, "papers")
+    said = lambda c: F.struct(F.col(c).alias("content"))
+    shapes = F.array(
+        F.to_json(F.struct(F.struct(F.array(F.struct(F.col("title").alias("text"), F.lit(None).cast("struct<reply:string>").alias("content")), F.struct(F.lit(" ").alias("text"), F.struct(F.col("source").alias("reply")).alias("content"))).alias("payloads")).alias("result"))),
+        F.to_json(F.struct(F.array(said("title"), said("date")).alias("messages"))),
+        F.to_json(F.struct(F.col("title").alias("reply"), F.col("source").alias("message"))),
+    )
+    return spread(p.select("row_no", F.get(shapes, F.pmod("row_no", F.lit(3)).cast("int")).alias("answer"))).select("row_no", docs.answer_text("answer").alias("text"))
+
+
+_STRIP = r"nullif(regexp_replace({0}, '^[\t-\r\x1c-\x20\x{{85}}\p{{Z}}]+|[\t-\r\x1c-\x20\x{{85}}\p{{Z}}]+$', '', 'g'), '')"
+_AGENT = f"""with p as (select row_no, {_STRIP.format('title')} t, {_STRIP.format('source')} s, {_STRIP.format('date')} d from papers)
+select row_no, nullif(case row_no % 3 when 0 then concat_ws(chr(10), t, s) when 1 then concat_ws(chr(10), t, d) else coalesce(t, s) end, '') as text from p"""
+
+
 def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Absolute links and meta values of pages built from records, all links of each."""
     p = table(spark, sf_dir, "papers")
@@ -301,12 +318,12 @@ def bucket_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    registry_scan, journal_scan, preprint_scan, scholar_scan, atom_scan, bulk_tables, bulk_latest, landed_pages, json_lines_round, payload_records, seen_state, commit_ids, prompt_batches, translations, page_parts, digest_all, archive_latest,
+    registry_scan, journal_scan, preprint_scan, scholar_scan, atom_scan, bulk_tables, bulk_latest, landed_pages, json_lines_round, payload_records, seen_state, commit_ids, prompt_batches, translations, agent_texts, page_parts, digest_all, archive_latest,
     text_helpers, first_keys, bucket_counts,
 )}
 SQL = {
     "registry_scan": _REGISTRY, "journal_scan": _JOURNALS, "preprint_scan": _PREPRINTS, "scholar_scan": _SCHOLAR, "atom_scan": _ATOM, "bulk_tables": _BULK, "bulk_latest": _LATEST, "landed_pages": _PAGES,
-    "json_lines_round": "select hist_no, paper_id, title, date, link from accepted_papers", "payload_records": _PAYLOADS, "seen_state": _SEEN, "commit_ids": _COMMIT, "prompt_batches": _PROMPTS, "page_parts": _PAGE_PARTS, "digest_all": _DIGEST_ALL,
+    "json_lines_round": "select hist_no, paper_id, title, date, link from accepted_papers", "payload_records": _PAYLOADS, "seen_state": _SEEN, "commit_ids": _COMMIT, "prompt_batches": _PROMPTS, "agent_texts": _AGENT, "page_parts": _PAGE_PARTS, "digest_all": _DIGEST_ALL,
     "archive_latest": "select row_number() over (order by pushed_at::date desc nulls last, pushed_at desc nulls last, hist_no) place, hist_no from accepted_papers",
     "text_helpers": _HELPERS, "first_keys": _FIRST_KEYS,
     "bucket_counts": "select case o_orderpriority when '1-URGENT' then 'core' when '2-HIGH' then 'core' when '3-MEDIUM' then 'tooling' else 'unbucketed' end bucket, count(*) n from orders group by 1",

@@ -58,6 +58,7 @@ def test_documents(spark):
     assert docs.json_in('[1] {"a": 2}', dict) == '{"a":2}' and docs.json_in("[1]", dict) is None
     assert docs.json_in('x [bad {"a": [1]} tail') == '{"a":[1]}' and docs.json_in("none") is None
     assert docs.answer_in({"payloads": [{"text": " hi "}, {"reply": ""}]}) == "hi"
+    assert [docs.whole_answer(x) for x in ('{"result": {"payloads": [{"content": {"text": "a"}}, {"text": "b"}]}}', '{"messages": [{"content": "x"}, "y"]}', '{"text": " ", "output": ["p"]}', '{"a": 1}', "[1]", " plain ", "", None)] == ["a\nb", "x\ny", "p", None, None, "plain", None, None]
     assert one(spark, lambda c: docs.markup_text(c), "&lt;b&gt;x&lt;/b&gt; y", "<p>Abstract: z</p>", None) == ["x y", "z", None]
     row = spark.createDataFrame([('<title>T</title><meta name="a" content="1"><script type="application/ld+json">{}</script><a href="u">go</a>',)], "x string").select(docs.page("x").alias("g")).first().g
     assert (row.title, row.text, row.links, row.json_ld, row.meta[0].value) == ("T", "go", ["u"], ["{}"], "1")
