@@ -4,7 +4,7 @@ A title's fingerprint is a 256-bit similarity hash of its letter trigrams. Title
 few bits, so one of the cyclic windows of 15 bits (one table for every 8th offset, 32 tables) is likely equal. New titles
 look their windows up by equality, keep candidates by Hamming distance, verify the words, and are appended. The index
 stores each different title once: fingerprint, windows (one place of an array for each table), words and first arrival. The
-history is never fingerprinted again; of it a look-up reads windows and one word of the fingerprint, and all other columns only for
+history is never fingerprinted again; of it a look-up reads windows and half of the fingerprint, and all other columns only for
 candidates. Batches may be looked up one by one or several at a time; the result is the same, as every title is judged
 by the titles and the vocabulary known up to its own batch.
 
@@ -29,9 +29,9 @@ from . import titles
 
 BITS, WINDOW, STEP = 256, 15, 8
 TABLES = BITS // STEP
-#: Largest Hamming distance of candidates over all bits, and over the first 64, which are looked at first; unrelated titles
-#: lie near 105 (26 of 64), slips below 45 (11 of 64).
-MAX_HAMMING, MAX_FIRST = 56, 20
+#: Largest Hamming distance of candidates over all bits, and over the first half, which is looked at first; unrelated titles
+#: lie near 105 (52 of the half), slips below 45 (23).
+MAX_HAMMING, MAX_FIRST = 56, 36
 _SLOTS = 1 << 14
 
 
@@ -104,8 +104,12 @@ def entries(read: DataFrame) -> DataFrame:
 
 def candidates(asked: DataFrame, index: DataFrame) -> DataFrame:
     """Pairs (kid, other) of entries that share a window and lie within MAX_HAMMING; other's entry is the earlier."""
-    spread = lambda df, kid, check: df.select(F.col("kid").alias(kid), F.col("f0").alias(check), F.posexplode("blocks").alias("tbl", "blk")).select(kid, check, F.shiftleft("tbl", WINDOW).bitwiseOR(F.col("blk")).alias("slot"))
-    met = spread(asked, "kid", "f").join(spread(index, "other", "g"), "slot").where((F.col("kid") != F.col("other")) & (F.bit_count(F.col("f").bitwiseXOR(F.col("g"))) <= MAX_FIRST))
+    def spread(df: DataFrame, kid: str, half: str) -> DataFrame:
+        rows = df.select(F.col("kid").alias(kid), F.col("f0").alias(f"{half}0"), F.col("f1").alias(f"{half}1"), F.posexplode("blocks").alias("tbl", "blk"))
+        return rows.select(kid, f"{half}0", f"{half}1", F.shiftleft("tbl", WINDOW).bitwiseOR(F.col("blk")).alias("slot"))
+
+    first = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
+    met = spread(asked, "kid", "a").join(spread(index, "other", "b"), "slot").where((F.col("kid") != F.col("other")) & (first <= MAX_FIRST))
     met = stage(met.select("kid", "other").distinct(), "met")
     own = asked.select("kid", "first", *[f"f{i}" for i in range(4)])
     other = index.select(F.col("kid").alias("other"), F.col("first").alias("other_first"), *[F.col(f"f{i}").alias(f"g{i}") for i in range(4)])

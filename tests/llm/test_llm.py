@@ -147,7 +147,7 @@ def test_recall_against_all_pairs(length, slips, least):
 
     planes = history._planes()
     x, y = history.fingerprint_bits(base, planes), history.fingerprint_bits([slip(b) for b in base], planes)
-    met = (history._windows(x) == history._windows(y)).any(axis=1) & ((x != y).sum(1) <= history.MAX_HAMMING) & ((x != y)[:, :64].sum(1) <= history.MAX_FIRST)
+    met = (history._windows(x) == history._windows(y)).any(axis=1) & ((x != y).sum(1) <= history.MAX_HAMMING) & ((x != y)[:, :128].sum(1) <= history.MAX_FIRST)
     assert met.mean() >= least
 
 
