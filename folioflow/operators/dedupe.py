@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import strip
-from ..runtime import ship, stage
+from ..runtime import released, ship, stage
 
 
 def first_by_id(df: DataFrame, ident: str, order: str) -> DataFrame:
@@ -98,47 +99,77 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([indel_similarity(x, y) if x is not None and y is not None else None for x, y in zip(a, b)], dtype="float64")
 
 
+#: Rows of segments that are shuffled at a time; more texts take more passes, so the disk they need stays the same.
+PASS_ROWS = 20_000_000
+#: The characters that ``letters`` counts.
+COUNTED = "abcdefghijklmnopqrstuvwxyz 01289"
+
+
+def letters(text: Column) -> Column:
+    """BIGINT: how often each of COUNTED stands in the text, modulo 4, as two bits in Gray code: an insertion or deletion changes one bit at most."""
+    times = lambda c: F.pmod(F.length(text) - F.length(F.replace(text, F.lit(c), F.lit(""))), F.lit(4))
+    gray = [F.shiftleft(F.element_at(F.array(*map(F.lit, (0, 1, 3, 2))), times(c) + 1).cast("bigint"), 2 * i) for i, c in enumerate(COUNTED)]
+    return reduce(Column.bitwiseOR, gray)
+
+
 def similar_texts(left: DataFrame, right: DataFrame, threshold: int = 96, once: bool = False) -> DataFrame:
     """left_text, right_text, similarity of the different texts (column text) at or above the threshold.
 
-    Exact: with k = the most indels the threshold allows for a pair of lengths (k as odd or even as their sum), one text
-    is cut into k + 1 segments. The first segment i up to whose end at most i indels fall has none, exactly i before it
+    Exact: with k = the most indels the threshold allows the right text of a pair (k as odd or even as the sum of their
+    lengths), this text is cut into k + 1 segments. The first segment i up to whose end at most i indels fall has none, exactly i before it
     and at most k - i behind it (pigeonhole), so it stands in the other text, shifted by one of -i, -i + 2, ..., i places
-    that k - i indels can still make up for. Segments meet by equality with the lengths, so no cross join; edit distance
-    is never above indels and sorts out the rest. Empty and null texts match nothing. ``once``: both tables are the same;
-    each pair of two different texts comes once, the shorter first.
+    that k - i indels can still make up for. Segments meet by equality with the right text's length, so no cross join;
+    counts of letters, which k indels change by k, go before pairs are kept, and edit distance, which is never above
+    indels, sorts out the rest. The planner doesn't see how many segments a text has, so the join is a merge of shuffled
+    rows by hint, in passes over the right texts' lengths. Empty and null texts match nothing. ``once``: both tables are
+    the same; each pair of two different texts comes once, the shorter first.
     """
-    ship(left.sparkSession)
-    part = lambda df: df.where("text <> ''").select("text").distinct().select("text", F.xxhash64("text").alias("t"), F.length("text").alias("len"))
-    l, r = part(left), part(right)
+    spark = ship(left.sparkSession)
+    cores = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    part = lambda df: stage(df.where("text <> ''").select("text").distinct().repartition(cores).select("text", F.xxhash64("text").alias("t"), F.length("text").alias("len"), letters(F.col("text")).alias("c")), "texts")
+    l = part(left)
+    r = l if once else part(right)
     # Lengths of partners: LCS is at most the shorter text, so 2 * short / (short + long) >= threshold / 100.
     low = lambda n: F.ceil(n * threshold / (200 - threshold)).cast("int")
     high = lambda n: F.floor(n * (200 - threshold) / threshold).cast("int")
-    most = lambda a, b: F.floor((a + b) * (100 - threshold) / 100.0 + 1e-9).cast("int")
+    most = lambda b: F.floor((b + (b if once else high(b))) * (100 - threshold) / 100.0 + 1e-9).cast("int")
     cut = lambda n, k, i: F.floor(n * i / (k + 1)).cast("int")
+    n, a, b, k, i = (F.col(x) for x in ("len", "a", "b", "k", "i"))
 
     def segments(df: DataFrame) -> DataFrame:
-        """With a, b: lengths of the left and right text; segment i of the right one: at, size."""
-        df = df.withColumn("k", most(F.col("a"), F.col("b"))).withColumn("k", F.col("k") - F.pmod(F.col("k") + F.col("a") + F.col("b"), F.lit(2))).where("k >= 0")
-        df = df.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k")))).withColumn("at", cut(F.col("b"), F.col("k"), F.col("i")))
-        return df.withColumn("size", cut(F.col("b"), F.col("k"), F.col("i") + 1) - F.col("at"))
-
-    key = lambda at: F.xxhash64("a", "b", "i", F.substring("text", at + 1, F.col("size"))).alias("h")
-    n = F.col("len")
-    rk = segments(r.select("text", "t", n.alias("b"), F.explode(F.sequence(low(n), n if once else high(n))).alias("a")))
-    rk = rk.select(F.col("t").alias("rt"), key(F.col("at")))
-    lk = segments(l.select("text", "t", n.alias("a"), F.explode(F.sequence(n if once else low(n), high(n))).alias("b")))
-    gap, left_over = F.col("a") - F.col("b"), F.col("k") - F.col("i")
-    first, last = F.greatest(-F.col("i"), gap - left_over), F.least(F.col("i"), gap + left_over)
-    lk = lk.withColumns({"first": first, "last": last}).where("first <= last").withColumn("shift", F.explode(F.sequence("first", "last", F.lit(2)))).withColumn("p", F.col("at") + F.col("shift"))
-    lk = lk.where((F.col("p") >= 0) & (F.col("p") <= F.col("a") - F.col("size"))).select(F.col("t").alias("lt"), key(F.col("p")))
-    met = lk.join(rk, "h").where(F.col("lt") != F.col("rt")).select("lt", "rt").distinct()
+        """With b: length of the right text, k; segment i of the right one: at, size."""
+        df = df.where("k >= 0").withColumn("i", F.explode(F.sequence(F.lit(0), k))).withColumn("at", cut(b, k, i))
+        return df.withColumn("size", cut(b, k, i + 1) - F.col("at"))
+
+    key = lambda at: F.xxhash64("b", "k", "i", F.substring("text", at + 1, F.col("size"))).alias("h")
+    partners = l.select("text", "t", "c", n.alias("a"), F.explode(F.sequence(n if once else low(n), high(n))).alias("b")).withColumn("k", most(b) - F.pmod(most(b) + a + b, F.lit(2)))
+    # About a quarter of (k + 1) (k + 3) places for each length of partners.
+    rows = l.select(F.sum((high(n) - (n if once else low(n)) + 1) * (most(n) + 1) * (most(n) + 3) / 4)).first()[0] or 0
+    passes = math.ceil(rows / PASS_ROWS)
+    met = None
+    for nth in range(passes):
+        mine = F.pmod(b, F.lit(passes)) == nth
+        rk = segments(r.select("text", "t", "c", n.alias("b")).where(mine).select("*", F.explode(F.array(most(b), most(b) - 1)).alias("k")))
+        rk = rk.select(F.col("t").alias("rt"), F.col("c").alias("rc"), key(F.col("at")))
+        lk = segments(partners.where(mine))
+        gap, left_over = a - b, k - i
+        first, last = F.greatest(-i, gap - left_over), F.least(i, gap + left_over)
+        lk = lk.withColumns({"first": first, "last": last}).where("first <= last").withColumn("shift", F.explode(F.sequence("first", "last", F.lit(2)))).withColumn("p", F.col("at") + F.col("shift"))
+        lk = lk.where((F.col("p") >= 0) & (F.col("p") <= a - F.col("size"))).select(F.col("t").alias("lt"), F.col("c").alias("lc"), "k", key(F.col("p")))
+        near = (F.bit_count(F.col("lc").bitwiseXOR(F.col("rc"))) <= k) & (F.col("lt") != F.col("rt"))
+        found = stage(lk.hint("merge").join(rk, "h").where(near).select("lt", "rt").distinct(), "met")
+        met = found if met is None else met.unionByName(found)
+        if passes > 1:
+            del rk, lk
+            released(spark)
+    if met is None:
+        return spark.createDataFrame([], "left_text string, right_text string, similarity double")
     met = met.join(l.select(F.col("t").alias("lt"), F.col("text").alias("left_text")), "lt").join(r.select(F.col("t").alias("rt"), F.col("text").alias("right_text")), "rt")
     near = F.expr(f"levenshtein(left_text, right_text, cast(floor((length(left_text) + length(right_text)) * {100 - threshold} / 100.0D + 1e-9D) as int)) >= 0")
     met = met.where(near)
     if once:
         met = met.where((F.length("left_text") < F.length("right_text")) | (F.col("left_text") < F.col("right_text")))
-    return met.select("left_text", "right_text").withColumn("similarity", similarity("left_text", "right_text")).where(F.col("similarity") >= threshold)
+    return stage(met.select("left_text", "right_text").withColumn("similarity", similarity("left_text", "right_text")).where(F.col("similarity") >= threshold), "similar")
 
 
 def fuzzy_pairs(left: DataFrame, right: DataFrame, threshold: int = 96) -> DataFrame:

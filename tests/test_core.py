@@ -1,4 +1,5 @@
 import datetime
+import itertools
 import json
 import random
 
@@ -364,3 +365,27 @@ def test_similar_titles_are_known(spark, tmp_path):
         if t and any(dedupe.indel_similarity(t, x) >= 96 for x in base[:6]):
             reasons[o] = "title" if t in base[:6] else "title_similarity"
     assert {r.arrival_no: r.reason for r in core.pushed_match_reason(spark, d).collect()} == reasons and {*reasons.values()} == {"title", "title_similarity"}
+
+
+def test_segments_are_not_broadcast(spark, monkeypatch):
+    rng = random.Random(9)
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(25, 80))).strip() for _ in range(40)]
+    texts = sorted({t[:i] + rng.choice(["", "a", "z9"]) + t[i + rng.randint(0, 1) :] for t in base * 3 for i in [rng.randrange(len(t))]})
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    plans, staged = [], dedupe.stage
+    plan = lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(dedupe, "stage", lambda d, name: plan(d) or staged(d, name))
+    monkeypatch.setattr(dedupe, "PASS_ROWS", 5_000, raising=False)
+    out = dedupe.similar_texts(df, df, once=True)
+    plan(out)
+    # The planner takes a text's segments for one row, so it would send them all to the driver.
+    assert not any("BroadcastHashJoin [h#" in p for p in plans) and sum("SortMergeJoin [h#" in p for p in plans) > 1
+    near = {(min(p, key=lambda x: (len(x), x)), max(p, key=lambda x: (len(x), x))) for p in itertools.combinations(texts, 2) if dedupe.indel_similarity(*p) >= 96}
+    assert near and {(r.left_text, r.right_text) for r in out.collect()} == near
+
+
+def test_an_indel_changes_one_bit(spark):
+    rng = random.Random(10)
+    pairs = [(t, t[:i] + t[i + 1 :]) for _ in range(300) for t in ["".join(rng.choice("abcz 0129é-") for _ in range(rng.randint(1, 40)))] for i in [rng.randrange(len(t))]]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    assert df.where(F.bit_count(dedupe.letters(F.col("a")).bitwiseXOR(dedupe.letters(F.col("b")))) > 1).isEmpty()
