@@ -100,7 +100,7 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 #: Rows of segments that are shuffled at a time; more texts take more passes, so the disk they need stays the same.
-PASS_ROWS = 20_000_000
+PASS_ROWS = 10_000_000
 #: The characters that ``letters`` counts.
 COUNTED = "abcdefghijklmnopqrstuvwxyz 01289"
 
