@@ -515,3 +515,14 @@ def test_spans_of_hot_copies_and_stock_paragraphs(spark):
 def test_titles(spark):
     df = spark.createDataFrame([("The <i>Bänk</i> &amp; Credit [revised]*",), (None,), ("Draft: X – forthcoming",)], "t string")
     assert [r[0] for r in df.select(F.array_join(titles.words(titles.plain(F.col("t"))), " ")).collect()] == ["bank and credit", None, "x"]
+
+
+def test_unlike_words_are_not_aligned(spark, monkeypatch):
+    calls, osa = [], linkage._osa
+    monkeypatch.setattr(linkage, "_osa", lambda *x: calls.append(x) or osa(*x))
+    a, b = "fiscal funds shape mortgage prices in basel".split(), "global taxes guide dividend audits by turin".split()
+    assert linkage.compare_titles(a, b, 7, 7, {}, 100) == (0, 1, 0) and not calls
+    assert linkage.compare_titles([*a[:-1], "bsael"], a, 7, 7, {}, 100) == (4, 0, 0) and calls
+    df = spark.createDataFrame([(1, "Fiscal Funds", ["A B"], 3)], "id long, title string, authors array<string>, month int")
+    # A filter on words goes below the projection, which reads the title again.
+    assert "Filter" not in linkage.records(df)._jdf.queryExecution().optimizedPlan().toString()
