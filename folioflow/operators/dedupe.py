@@ -62,7 +62,9 @@ def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | Non
         flat = flat.unionByName(extra.select(F.explode(F.array("a", "b")).alias("_o"), F.lit(n).alias("i"), pair.alias("k")))
     if groups is not None:
         flat = flat.unionByName(groups.select(F.col("o").alias("_o"), F.lit(n + 1).alias("i"), F.col("k").cast("string").alias("k")))
-    flat = stage(flat, "greedy")
+    # Keys that one row alone holds settle nothing; a key of ``keys``, however long, is named by its first row.
+    shared = flat.groupBy("i", "k").agg(F.min("_o").alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    flat = stage(flat.join(shared, ["i", "k"]).select("_o", "i", F.when(F.col("i") < n, F.col("first").cast("string")).otherwise(F.col("k")).alias("k")), "greedy")
     kept = stage(base.join(flat.select("_o").distinct(), "_o", "left_anti").select("_o"), "greedy")
     undecided = flat
     while True:
@@ -75,6 +77,7 @@ def greedy(df: DataFrame, order: str, keys: list[Column], extra: DataFrame | Non
         undecided = stage(undecided.join(sure, "_o", "left_anti").join(gone, "_o", "left_anti"), "greedy")
         if undecided.isEmpty():
             break
+        released(df.sparkSession)
     return df.join(kept.select(F.col("_o").alias(order)), order, "left_semi")
 
 
@@ -169,7 +172,10 @@ def similar_texts(left: DataFrame, right: DataFrame, threshold: int = 96, once:
     met = met.where(near)
     if once:
         met = met.where((F.length("left_text") < F.length("right_text")) | (F.col("left_text") < F.col("right_text")))
-    return stage(met.select("left_text", "right_text").withColumn("similarity", similarity("left_text", "right_text")).where(F.col("similarity") >= threshold), "similar")
+    out = stage(met.select("left_text", "right_text").withColumn("similarity", similarity("left_text", "right_text")).where(F.col("similarity") >= threshold), "similar")
+    del met
+    released(spark)
+    return out
 
 
 def fuzzy_pairs(left: DataFrame, right: DataFrame, threshold: int = 96) -> DataFrame:
@@ -204,6 +210,7 @@ def known_reason(df: DataFrame, state: DataFrame, keys: list[tuple[str, str]], o
     if similar is None:
         return out
     name, column = similar
+    out = stage(out, "known")
     fresh = out.where("reason is null").select(F.col(column).alias("text"))
     near = similar_texts(fresh, state.select(F.col(column).alias("text"))).select(F.col("left_text").alias("_v")).distinct().withColumn("_near", F.lit(True))
     out = out.join(near, F.col(column) == F.col("_v"), "left")

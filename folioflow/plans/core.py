@@ -17,7 +17,7 @@ from ..functions import query_language as Q
 from ..functions import notes
 from ..functions import text as X
 from ..operators import dedupe, enrich, filters, merge, rank, render, rules, state
-from ..runtime import spread, stage, table
+from ..runtime import released, spread, stage, table
 
 AS_OF = datetime.date(2025, 6, 30)
 INCLUDE, EXCLUDE = ["language model", "evidence"], ["intraday", "bailout"]
@@ -234,17 +234,28 @@ def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _papers(spark, sf_dir).where(pages.isNotNull()).select("row_no", said.alias("answer"))
 
 
-def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Decided records with the backend's verdicts, heuristic and final score."""
+def _decided(spark: SparkSession, sf_dir: str, recent: int | None = None) -> DataFrame:
+    """Records, of the last ``recent`` days if given, with their decision and heuristic score. No row is shuffled, and none is filtered by its decision, as that would run the rules twice."""
     p = _papers(spark, sf_dir).withColumn("source", F.trim("source")).select("row_no", "paper_id", "title", "abstract", "authors", "source", "source_handler", "date", "link", "query_groups", "canonical_url", "normalized_title")
-    d = enrich.with_verdicts(rules.decide(p, RULES), _answers(spark, sf_dir), "row_no")
+    if recent is not None:
+        p = p.where(filters.within(D.parse_date(F.col("date")), recent, AS_OF))
+    d = rules.decide(p, RULES)
     age = D.days_since(D.parse_date(F.col("date")), AS_OF)
     noise = sum((F.size(F.col(f"hits.noise.{f}")) for f in rules.FIELDS[1:]), F.size("hits.noise.title"))
     heuristic = rank.heuristic(F.col("score"), age, [F.coalesce(F.col("abstract") != "", F.lit(False)), F.coalesce(F.size("authors") > 0, F.lit(False)), F.coalesce(F.col("date") != "", F.lit(False))], F.col("source"), F.col("bucket"), F.coalesce("query_groups", F.array().cast("array<string>")), noise, WEIGHTS)
-    d = d.withColumn("heuristic", F.round(heuristic, 6))
-    d = d.withColumn("final", F.round(F.col("heuristic") + F.col("relevance") * WEIGHTS.relevance + F.col("pick") * WEIGHTS.pick, 5))
+    return d.withColumn("heuristic", F.round(heuristic, 6)).drop("abstract", "bucket_scores")
+
+
+def _with_final(spark: SparkSession, sf_dir: str, d: DataFrame) -> DataFrame:
+    """Adds the backend's verdicts and the final score."""
+    d = enrich.with_verdicts(d, _answers(spark, sf_dir), "row_no")
+    return d.withColumn("final", F.round(F.col("heuristic") + F.col("relevance") * WEIGHTS.relevance + F.col("pick") * WEIGHTS.pick, 5))
+
+
+def _ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decided records with the backend's verdicts, heuristic and final score."""
     # Rules run once; the stages after them read the table of decisions (also twice, as for "any accepted").
-    return stage(d.drop("abstract", "bucket_scores"), "decisions")
+    return stage(_with_final(spark, sf_dir, _decided(spark, sf_dir)), "decisions")
 
 
 def heuristic_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -660,11 +671,14 @@ _JSON = "select row_no, try_cast(raw_metadata->>'$.pages' as bigint) pages from
 
 def ranked_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy dedupe, recency, rules, verdicts of the top candidates, ranking, known records out, balanced selection, filled from the rejected if short."""
-    kept = greedy_dedupe(spark, sf_dir)
-    r = _ranked(spark, sf_dir).join(kept, "row_no", "left_semi").where("matched")
-    r = _asked(r.where(filters.within(D.parse_date(F.col("date")), 2000, AS_OF)), 120)
-    known = dedupe.known_reason(r, table(spark, sf_dir, "accepted_papers"), [("paper_id", "paper_id"), ("canonical_url", "canonical_url"), ("title", "normalized_title")], "hist_no", ("title_similarity", "normalized_title"))
+    kept = stage(greedy_dedupe(spark, sf_dir), "kept")
+    # Each part is written and read again: the plans that the driver holds stay small, and none runs twice.
+    d = stage(_decided(spark, sf_dir, 2000).select("row_no", "paper_id", "canonical_url", "normalized_title", "title", "matched", "bucket", "score", "heuristic"), "decisions")
+    r = stage(_with_final(spark, sf_dir, d.where("matched").join(kept, "row_no", "left_semi")), "candidates")
+    released(spark)
+    known = dedupe.known_reason(_asked(r, 120), table(spark, sf_dir, "accepted_papers"), [("paper_id", "paper_id"), ("canonical_url", "canonical_url"), ("title", "normalized_title")], "hist_no", ("title_similarity", "normalized_title"))
     known = stage(known, "known")
+    released(spark)
     accepted = rank.accepted(known, F.col("verdict")).where("reason is null")
     order = [F.col("final").desc(), F.col("row_no")]
     chosen = rank.balanced(accepted, order, "bucket", "core", 6, "tooling", 4, 20).select("place", "row_no", "bucket", "final", "title")

@@ -389,3 +389,29 @@ def test_an_indel_changes_one_bit(spark):
     pairs = [(t, t[:i] + t[i + 1 :]) for _ in range(300) for t in ["".join(rng.choice("abcz 0129é-") for _ in range(rng.randint(1, 40)))] for i in [rng.randrange(len(t))]]
     df = spark.createDataFrame(pairs, "a string, b string")
     assert df.where(F.bit_count(dedupe.letters(F.col("a")).bitwiseXOR(dedupe.letters(F.col("b")))) > 1).isEmpty()
+
+
+def test_plans_of_similar_titles_stay_small(spark, monkeypatch):
+    """What a step writes is read again, so no plan holds the steps before it, and the rules run over rows that no join has shuffled."""
+    plans = []
+    staged = dedupe.stage
+
+    def plan(d, name="stage"):
+        plans.append((name, d._jdf.queryExecution().optimizedPlan().toString().count("\n"), d._jdf.queryExecution().executedPlan().toString()))
+        return staged(d, name)
+
+    for m in (dedupe, core):
+        monkeypatch.setattr(m, "stage", plan)
+    sf = "/root/testdata/sf0.001"
+    core.ranked_pipeline(spark, sf)
+    assert [n for n, *_ in plans].count("decisions") == 1
+    assert "Exchange hashpartitioning" not in next(p for n, _, p in plans if n == "decisions")
+    assert max(lines for _, lines, _ in plans) < 60
+
+
+def test_keys_of_one_row_settle_nothing(spark, monkeypatch):
+    rows, written = [], dedupe.stage
+    monkeypatch.setattr(dedupe, "stage", lambda d, name: rows.append((d.columns, d.count())) or written(d, name))
+    df = spark.createDataFrame([(i, f"id{i}", "u" * 500 if i in (3, 7) else f"u{i}") for i in range(50)], "o long, id string, url string")
+    assert {r.o for r in dedupe.greedy(df, "o", [F.col("id"), F.col("url")]).collect()} == {*range(50)} - {7}
+    assert [n for c, n in rows if c == ["_o", "i", "k"]][0] == 2
