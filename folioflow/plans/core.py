@@ -382,6 +382,7 @@ def pushed_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pushed_match_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By which key an incoming row is known, in order of precedence."""
     i, a = table(spark, sf_dir, "incoming_papers"), table(spark, sf_dir, "accepted_papers")
+    i = i.select("arrival_no", "paper_id", "canonical_url", "normalized_title")
     known = dedupe.known_reason(i, a, [("paper_id", "paper_id"), ("canonical_url", "canonical_url"), ("title", "normalized_title")], "hist_no", ("title_similarity", "normalized_title"))
     return known.where("reason is not null").select("arrival_no", "reason")
 
